@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text shapes that TIMESTAMP_FORMAT accepts: a four-digit year, or a signed longer
-# one. ``\z`` rather than ``$``, which would also accept a trailing line break.
-_SHAPE = r"^(\d{4}|\+\d{5,6}|-\d{4,6})-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
+# Text shapes that TIMESTAMP_FORMAT accepts: a four-digit year, a longer one with plus,
+# or one with minus that is not zero. ``\z`` rather than ``$``, which would also accept
+# a trailing line break.
+_SHAPE = r"^(\d{4}|\+\d{5,6}|-(?!0+-)\d{4,6})-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 
 def parse_event_time(text: Column | str = "timestamp") -> Column:

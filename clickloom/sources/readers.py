@@ -61,12 +61,10 @@ def _parse_lines(lines: DataFrame) -> DataFrame:
     )
     texts = [f.name for f in schema.RAW_SCHEMA.fields if f.dataType == T.StringType()]
     is_header = reduce(and_, (F.col(c).eqNullSafe(F.lit(c)) for c in texts))
-    return (
-        lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
-        .select(row.alias("row"))
-        .select("row.*")
-        .where(~is_header)
-    )
+    not_blank = F.col("value").rlike(r"[^\x00-\x20]")
+    # inline() rather than "row.*": filters are not moved below a generator, so each
+    # line is parsed once and not again for every column a later filter looks at.
+    return lines.where(not_blank).select(F.inline(F.array(row))).where(~is_header)
 
 
 def read_cleaned(spark: SparkSession, output: str, run_id: str | None = None) -> DataFrame:
