@@ -48,10 +48,10 @@ def _time_features(raw: DataFrame) -> DataFrame:
 
 
 def _read_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_clickstream(spark, _write_csv(spark, sf_dir, scratch_folder(spark)))
+    return readers.read_clickstream(spark, write_csv(spark, sf_dir, scratch_folder(spark)))
 
 
-def _write_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def write_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
     path = f"{folder}/clickstream"
     clickstream_raw(spark, sf_dir).write.option("header", True).csv(path)
     return path
@@ -115,7 +115,7 @@ def _latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_run(spark: SparkSession, sf_dir: str) -> str:
     """CSV files to a finished run; returns the folder it is in."""
     folder = scratch_folder(spark)
-    path = _write_csv(spark, sf_dir, folder)
+    path = write_csv(spark, sf_dir, folder)
     batch.run(spark, path, folder, RUN, exact_money=True)
     return folder
 

@@ -1,4 +1,4 @@
-"""Profiles and summaries, each one row computed in one pass over its input."""
+"""Profiles and summaries: one row per input table."""
 
 from __future__ import annotations
 
@@ -11,25 +11,38 @@ def raw_profile(raw: DataFrame) -> DataFrame:
 
     Counted per (user, region) first. Distinct counts of two columns make Spark copy
     every input row per column; done on the pairs, the copies are of groups only.
+
+    The span is over text, and the least of a text cannot be kept in a hash table:
+    grouped with the rest it would sort the whole input. It is a separate ungrouped
+    pass, which reads one column and keeps two values per task.
     """
     pairs = raw.groupBy("user_id", "region").agg(
         F.count("*").alias("rows"),
-        F.min("timestamp").alias("min_timestamp"),
-        F.max("timestamp").alias("max_timestamp"),
         F.count_if(F.col("duration_sec") < 0).alias("negative_durations"),
         F.count_if(F.isnan("price")).alias("nan_prices"),
     )
     no_user = F.col("user_id").isNull() | (F.col("user_id") == "")
-    return pairs.agg(
+    counts = pairs.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
         F.count_distinct("user_id").alias("unique_users"),
         F.count_distinct("region").alias("unique_regions"),
-        F.min("min_timestamp").alias("min_timestamp"),
-        F.max("max_timestamp").alias("max_timestamp"),
         F.coalesce(F.sum(F.when(no_user, F.col("rows"))), F.lit(0)).alias("blank_user_ids"),
         F.coalesce(F.sum("negative_durations"), F.lit(0)).alias("negative_durations"),
         F.coalesce(F.sum("nan_prices"), F.lit(0)).alias("nan_prices"),
     )
+    span = raw.agg(
+        F.struct(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    ).scalar()
+    return counts.select(
+        "total_rows",
+        "unique_users",
+        "unique_regions",
+        span["first"].alias("min_timestamp"),
+        span["last"].alias("max_timestamp"),
+        "blank_user_ids",
+        "negative_durations",
+        "nan_prices",
+    )
 
 
 def run_summary(cleaned: DataFrame) -> DataFrame:

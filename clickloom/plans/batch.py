@@ -54,8 +54,13 @@ def run(
 
     With ``quarantine`` lines that do not fit the schema are written to
     ``corrupt_records`` and left out; otherwise their unreadable cells become NULL.
+
+    A run that was cut short can be started again under its id. A finished one cannot:
+    its readers would see it half replaced.
     """
     run_id = run_id or new_run_id()
+    if readers.is_finished(spark, output, run_id):
+        raise ValueError(f"run {run_id} is already finished")
     if quarantine:
         raw, corrupt = readers.split_corrupt(readers.read_lines(spark, input_path))
         writers.write_corrupt(corrupt, output, run_id)

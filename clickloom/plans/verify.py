@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +24,8 @@ def verify_outputs(spark: SparkSession, output: str, run_id: str) -> DataFrame:
 
     def inventory(dataset: str, fmt: str, read) -> DataFrame:
         labels = [F.lit(dataset).alias("dataset"), F.lit(fmt).alias("format")]
-        try:
-            df = read()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        df = readers.found(read)
+        if df is None:
             return spark.range(1).select(
                 *labels,
                 F.lit(False).alias("found"),

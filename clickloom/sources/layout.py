@@ -12,6 +12,8 @@ be read for one run, or for all of them with the run as a column::
 
 from __future__ import annotations
 
+import re
+
 
 def cleaned_path(output: str) -> str:
     return f"{output}/cleaned_data/clickstream_cleaned"
@@ -34,4 +36,6 @@ def summary_path(output: str) -> str:
 
 
 def run_path(dataset: str, run_id: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"run id {run_id!r}: only letters, digits and . _ - are allowed")
     return f"{dataset}/run_id={run_id}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -114,13 +115,24 @@ def latest_run_id(spark: SparkSession, output: str) -> str | None:
     Looks at the summaries only: one row per run, written last, so a run that was cut
     short is never picked up.
     """
+    runs = found(lambda: read_summary(spark, output))
+    return None if runs is None else runs.agg(F.max("run_id")).first()[0]
+
+
+def is_finished(spark: SparkSession, output: str, run_id: str) -> bool:
+    """Whether a run wrote its summary."""
+    summary = found(lambda: read_summary(spark, output, run_id))
+    return summary is not None and not summary.isEmpty()
+
+
+def found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist."""
     try:
-        runs = read_summary(spark, output)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return runs.agg(F.max("run_id")).first()[0]
 
 
 def _read_parquet(

@@ -27,6 +27,7 @@ def write_cleaned(cleaned: DataFrame, output: str, run_id: str) -> None:
     (
         cleaned.hint("rebalance", "event_date")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # no days left over from an attempt
         .partitionBy("event_date")
         .parquet(layout.run_path(layout.cleaned_path(output), run_id))
     )

@@ -93,6 +93,12 @@ def test_summary_counts_pairs_before_copying_rows_per_distinct_column(cleaned):
     assert text.index("Expand") < text.index("partial_min(event_date")
 
 
+def test_profile_does_not_sort_its_input(raw):
+    text = plan(quality.raw_profile(raw))
+    assert "HashAggregate(keys=[user_id" in text
+    assert "Sort [" not in text
+
+
 def test_profile_of_an_empty_table(spark):
     row = quality.raw_profile(raw_frame(spark)).first()
     assert (row.total_rows, row.unique_users, row.blank_user_ids) == (0, 0, 0)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom import __main__ as cli
 from clickloom import schema
@@ -78,6 +79,29 @@ def test_a_run_without_a_summary_is_not_the_latest(spark, output, cleaned):
     assert readers.latest_run_id(spark, output) == "r1"
 
 
+def test_a_finished_run_is_not_replaced(spark, csv_path, output):
+    assert readers.is_finished(spark, output, "r1")
+    with pytest.raises(ValueError, match="already finished"):
+        batch.run(spark, csv_path, output, "r1")
+
+
+def test_a_run_that_was_cut_short_can_be_started_again(spark, csv_path, cleaned, tmp_path):
+    out = str(tmp_path)
+    stale = cleaned.withColumn("event_date", F.lit("1999-01-01").cast("date"))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        writers.write_cleaned(stale, out, "r1")
+        assert not readers.is_finished(spark, out, "r1")
+        batch.run(spark, csv_path, out, "r1")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert readers.is_finished(spark, out, "r1")
+    back = readers.read_cleaned(spark, out, "r1")
+    assert back.where("event_date < DATE'2000-01-01'").isEmpty()
+    assert all(r.ok for r in verify.reconcile_outputs(spark, out, "r1").collect())
+
+
 def test_no_run_at_all(spark, tmp_path):
     assert readers.latest_run_id(spark, str(tmp_path)) is None
 

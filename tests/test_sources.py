@@ -233,5 +233,17 @@ def test_latest_run_of_a_dataset(spark, tmp_path):
     assert [r.run_id for r in latest.collect()] == ["20240103_000000"]
 
 
+def test_run_ids_stay_text(spark, tmp_path):
+    out = str(tmp_path)
+    writers.write_cleaned(cleaned_events(raw_frame(spark, event())), out, "007")
+    assert [r.run_id for r in readers.read_cleaned(spark, out).collect()] == ["007"]
+
+
+@pytest.mark.parametrize("run_id", ["", "a/b", "a b", "12:30", "a=b"])
+def test_run_ids_must_fit_into_a_path(run_id):
+    with pytest.raises(ValueError):
+        layout.run_path("o", run_id)
+
+
 def test_paths():
     assert layout.run_path(layout.report_path("o", "n"), "r") == "o/reports/n_report/run_id=r"
