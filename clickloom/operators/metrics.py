@@ -15,7 +15,7 @@ from clickloom.functions import mean, total
 
 
 def report_order(name: str) -> list[Column]:
-    """Row order of an aggregate, total for all of them but equal device counts."""
+    """Row order of an aggregate; no two rows share a place in it."""
     return {
         "activity_by_region_hour": [F.asc("region"), F.asc("event_date"), F.asc("event_hour")],
         "device_statistics": [
@@ -28,38 +28,42 @@ def report_order(name: str) -> list[Column]:
     }[name]
 
 
+def _events(name: str) -> Column:
+    return F.count("*").alias(name)
+
+
+def _users(name: str) -> Column:
+    return F.count_distinct("user_id").alias(name)
+
+
+def _mean_duration() -> Column:
+    return F.avg("duration_sec").alias("avg_duration")
+
+
 def activity_by_region_hour(cleaned: DataFrame, exact_money: bool = False) -> DataFrame:
     """Events, users, mean duration and revenue per region, day and hour."""
-    return (
-        cleaned.groupBy("region", "event_date", "event_hour")
-        .agg(
-            F.count("*").alias("total_events"),
-            F.count_distinct("user_id").alias("unique_users"),
-            F.avg("duration_sec").alias("avg_duration"),
-            total("price", exact_money).alias("total_revenue"),
-            mean("price", exact_money).alias("avg_price"),
-        )
-        .orderBy(*report_order("activity_by_region_hour"))
+    per_hour = cleaned.groupBy("region", "event_date", "event_hour").agg(
+        _events("total_events"),
+        _users("unique_users"),
+        _mean_duration(),
+        total("price", exact_money).alias("total_revenue"),
+        mean("price", exact_money).alias("avg_price"),
     )
+    return per_hour.orderBy(*report_order("activity_by_region_hour"))
 
 
 def device_statistics(cleaned: DataFrame) -> DataFrame:
     """Events, mean duration and users per device and session category."""
-    return (
-        cleaned.groupBy("device", "session_category")
-        .agg(
-            F.count("*").alias("session_count"),
-            F.avg("duration_sec").alias("avg_duration"),
-            F.count_distinct("user_id").alias("unique_users"),
-        )
-        .orderBy(*report_order("device_statistics"))
+    per_device = cleaned.groupBy("device", "session_category").agg(
+        _events("session_count"), _mean_duration(), _users("unique_users")
     )
+    return per_device.orderBy(*report_order("device_statistics"))
 
 
 def user_activity(cleaned: DataFrame, exact_money: bool = False) -> DataFrame:
     """Events, time and money per user and region. ``total_sessions`` counts events."""
     return cleaned.groupBy("user_id", "region").agg(
-        F.count("*").alias("total_sessions"),
+        _events("total_sessions"),
         F.sum("duration_sec").alias("total_time"),
         total("price", exact_money).alias("total_spent"),
     )
@@ -74,26 +78,19 @@ def top_users(
     its own best ``limit`` rows; the ranking window sees only the merged ``limit``.
     """
     by_activity = [F.desc("total_sessions"), F.asc("user_id"), F.asc("region")]
-    rank = F.row_number().over(Window.orderBy(*by_activity)).cast("long")
-    return (
-        user_activity(cleaned, exact_money)
-        .orderBy(*by_activity)
-        .limit(limit)
-        .withColumn("rank", rank)
-    )
+    best = user_activity(cleaned, exact_money).orderBy(*by_activity).limit(limit)
+    rank = F.row_number().over(Window.orderBy(*by_activity))
+    return best.withColumn("rank", rank.cast("long"))
 
 
 def daily_activity(cleaned: DataFrame, exact_money: bool = False) -> DataFrame:
     """Events, users and revenue per day."""
-    return (
-        cleaned.groupBy("event_date")
-        .agg(
-            F.count("*").alias("daily_events"),
-            F.count_distinct("user_id").alias("daily_users"),
-            total("price", exact_money).alias("daily_revenue"),
-        )
-        .orderBy(*report_order("daily_activity"))
+    per_day = cleaned.groupBy("event_date").agg(
+        _events("daily_events"),
+        _users("daily_users"),
+        total("price", exact_money).alias("daily_revenue"),
     )
+    return per_day.orderBy(*report_order("daily_activity"))
 
 
 def analyze(cleaned: DataFrame, exact_money: bool = False) -> dict[str, DataFrame]:

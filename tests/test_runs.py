@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,21 @@ def test_run_writes_what_the_operators_compute(spark, csv_path, output):
     assert rows(readers.read_summary(spark, output, "r1")) == rows(quality.run_summary(cleaned))
 
 
+def test_the_input_is_read_once(spark, csv_path, tmp_path, monkeypatch):
+    """With the input gone after the first write, the run still finishes."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    shutil.copytree(csv_path, source)
+    write_cleaned = writers.write_cleaned
+
+    def write_then_lose_the_input(*args):
+        write_cleaned(*args)
+        shutil.rmtree(source)
+
+    monkeypatch.setattr(writers, "write_cleaned", write_then_lose_the_input)
+    batch.run(spark, source, out, "r1")
+    assert all(r.ok for r in verify.reconcile_outputs(spark, out, "r1").collect())
+
+
 def test_run_reconciles(spark, output):
     assert [r.ok for r in verify.reconcile_outputs(spark, output, "r1").collect()] == [True] * 8
     inventory = verify.verify_outputs(spark, output, "r1").collect()

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +89,36 @@ def test_corrupt_lines_do_not_depend_on_the_columns_read(spark, folder, columns)
     assert corrupt.count() == 3
 
 
+def test_both_ways_of_reading_agree_on_odd_lines(spark, tmp_path):
+    """Valid rows and re-read corrupt lines make up what the plain reader gives."""
+    rnd = random.Random(11)
+    text = ["a", "", '""', '"q,q"', '"open', 'x"y', "\\", '"a\\"b"', " pad ", "#c", "é", "'"]
+    whole = ["7", "-1", "", " 5", "5 ", "+3", "2.5", "99999999999", "abc"]
+    real = ["2.5", "7", "", "NaN", "Infinity", "1e3", "-0.0", "x"]
+
+    def line():
+        cells = [rnd.choice([*"abcdef", rnd.choice(text)]) for _ in range(6)]
+        cells += [rnd.choice(["1", "2", rnd.choice(whole)]), "p"]
+        cells.append(rnd.choice(["1.5", rnd.choice(real)]))
+        return ",".join(cells[: rnd.choice([9] * 12 + [1, 5, 8])] + ["more"] * (rnd.random() < 0.05))
+
+    def write(name, lines):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.csv").write_text("\n".join([HEADER, *lines, ""]), encoding="utf-8")
+        return str(folder)
+
+    def counted(df):
+        return Counter(str(tuple(r)) for r in df.collect())
+
+    source = write("all", [line() for _ in range(5_000)])
+    valid, corrupt = readers.split_corrupt(readers.read_lines(spark, source))
+    aside = [r[0] for r in corrupt.collect()]
+    assert 500 < len(aside) < 4_500
+    again = readers.read_clickstream(spark, write("aside", aside))
+    assert counted(valid) + counted(again) == counted(readers.read_clickstream(spark, source))
+
+
 def test_each_line_is_parsed_once(spark, folder):
     for df in readers.split_corrupt(readers.read_lines(spark, folder)):
         assert optimized(df).count("from_csv") == 1
