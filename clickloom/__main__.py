@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.operators import metrics
 from clickloom.plans import batch, verify
@@ -19,12 +20,12 @@ def _show_run(spark: SparkSession, output: str, run_id: str) -> None:
     cleaned = readers.read_cleaned(spark, output, run_id)
     activity = readers.read_aggregate(spark, output, "activity_by_region_hour", run_id)
     daily = readers.read_aggregate(spark, output, "daily_activity", run_id)
-    readers.read_summary(spark, output, run_id).show(truncate=False)
-    metrics.cleaned_sample(
-        cleaned.select(
-            "event_timestamp", "user_id", "action", "event_date", "region", "duration_sec"
-        )
-    ).show(truncate=False)
+    summary = readers.read_summary(spark, output, run_id)
+    summary.show(truncate=False)
+    # Sampled from the first day, so that only its folder is read.
+    first_day = cleaned.where(F.col("event_date") == summary.select("min_date").scalar())
+    columns = ["event_timestamp", "user_id", "action", "event_date", "region", "duration_sec"]
+    metrics.cleaned_sample(first_day.select(*columns)).show(truncate=False)
     metrics.top_regions(activity).show(truncate=False)
     metrics.recent_days(daily).show(truncate=False)
 

@@ -109,6 +109,13 @@ cells AS (
   FROM (SELECT value, string_split(value, ',') AS c FROM lines)
 )"""
 
+_VALID_LINES = """
+SELECT nullif(c[1], '') AS user_id, nullif(c[2], '') AS session_id,
+       nullif(c[3], '') AS action, nullif(c[4], '') AS "timestamp", nullif(c[5], '') AS region,
+       nullif(c[6], '') AS device, CAST(nullif(c[7], '') AS INTEGER) AS duration_sec,
+       nullif(c[8], '') AS product_id, CAST(nullif(c[9], '') AS DOUBLE) AS price
+FROM cells WHERE fits"""
+
 _TOTAL = "CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE)"
 _COUNT = "CAST(count(*) AS BIGINT)"
 
@@ -229,7 +236,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         # cleaning
         "clickstream_raw": _raw("SELECT * FROM raw"),
-        "dedupe_events": _raw("SELECT 1").replace("\nSELECT 1", _DEDUPED + "\nSELECT * FROM deduped"),
+        "dedupe_events": f"WITH {_RAW}{_DEDUPED}\nSELECT * FROM deduped",
         "fill_defaults": _raw(f"SELECT {_FILLED_COLUMNS} FROM raw"),
         "filter_valid": _raw(
             f"""SELECT * EXCLUDE (event_timestamp)
@@ -264,13 +271,7 @@ FROM (SELECT {_STRICT_TIME} AS event_timestamp FROM raw)"""
         "run_summary": _cleaned(_SUMMARY),
         # sources and sinks
         "read_clickstream": f"WITH {_RAW}{_FROM_CSV}\nSELECT * FROM reread",
-        "valid_rows": _lines(
-            """SELECT nullif(c[1], '') AS user_id, nullif(c[2], '') AS session_id,
-       nullif(c[3], '') AS action, nullif(c[4], '') AS "timestamp", nullif(c[5], '') AS region,
-       nullif(c[6], '') AS device, CAST(nullif(c[7], '') AS INTEGER) AS duration_sec,
-       nullif(c[8], '') AS product_id, CAST(nullif(c[9], '') AS DOUBLE) AS price
-FROM cells WHERE fits"""
-        ),
+        "valid_rows": _lines(_VALID_LINES),
         "corrupt_rows": _lines('SELECT value AS "_corrupt_record" FROM cells WHERE NOT fits'),
         "write_corrupt": _lines('SELECT value AS "_corrupt_record" FROM cells WHERE NOT fits'),
         "read_cleaned": _cleaned("SELECT * FROM cleaned"),
@@ -283,7 +284,12 @@ FROM cells WHERE fits"""
         "report_top_users": _cleaned(_TOP),
         "report_daily_activity": _cleaned(_DAILY),
         "latest_run": _cleaned(f"SELECT *, '20240102_000000' AS run_id FROM ({_SUMMARY})"),
+        "load": _cleaned(_SUMMARY),
         # whole runs, from CSV files
+        "quarantined_run": f"WITH {_RAW}{_LINES},\nreread AS ({_VALID_LINES})"
+        + _DEDUPED.replace("FROM raw", "FROM reread")
+        + _CLEANED
+        + _SUMMARY,
         "verify_outputs": _csv_cleaned(_VERIFY),
         "reconcile_outputs": _csv_cleaned(_RECONCILE),
     }

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom import schema
 from clickloom.fixtures.raw import clickstream_lines, clickstream_raw, scratch_folder
 from clickloom.functions import (
     parse_event_time,
@@ -112,6 +113,20 @@ def _latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.latest_run(readers.read_summary(spark, folder))
 
 
+def _load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    cleaned = cleaning.cleaned_events(clickstream_raw(spark, sf_dir))
+    batch.load(cleaned, metrics.analyze, folder, RUN)
+    return readers.read_summary(spark, folder, RUN)
+
+
+def _quarantined_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    clickstream_lines(spark, sf_dir).write.text(f"{folder}/lines")
+    batch.run(spark, f"{folder}/lines", folder, RUN, quarantine=True)
+    return readers.read_summary(spark, folder, RUN)
+
+
 def whole_run(spark: SparkSession, sf_dir: str) -> str:
     """CSV files to a finished run; returns the folder it is in."""
     folder = scratch_folder(spark)
@@ -165,10 +180,12 @@ def queries() -> dict[str, Query]:
         "corrupt_rows": _corrupt_rows,
         "write_corrupt": _write_corrupt,
         "read_cleaned": _read_cleaned,
-        **{f"aggregate_{name}": aggregate_round_trip(name) for name in _AGGREGATES},
-        **{f"report_{name}": report_round_trip(name) for name in _AGGREGATES},
+        **{f"aggregate_{name}": aggregate_round_trip(name) for name in schema.AGGREGATE_SCHEMAS},
+        **{f"report_{name}": report_round_trip(name) for name in schema.AGGREGATE_SCHEMAS},
         "latest_run": _latest_run,
+        "load": _load,
         # whole runs, from CSV files
+        "quarantined_run": _quarantined_run,
         "verify_outputs": lambda spark, sf_dir: verify.verify_outputs(
             spark, whole_run(spark, sf_dir), RUN
         ),
@@ -176,11 +193,3 @@ def queries() -> dict[str, Query]:
             spark, whole_run(spark, sf_dir), RUN
         ),
     }
-
-
-_AGGREGATES = (
-    "activity_by_region_hour",
-    "device_statistics",
-    "top_users",
-    "daily_activity",
-)

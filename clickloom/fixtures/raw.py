@@ -43,8 +43,12 @@ TEXT_DURATION = 5
 BAD_TIMESTAMP_TEXT = "2024-13-45 25:61:61"
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The events table; its schema is declared, so no file is opened to plan a query."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def inject_defects(events: DataFrame) -> DataFrame:

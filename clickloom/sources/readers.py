@@ -103,9 +103,14 @@ def read_corrupt(spark: SparkSession, output: str, run_id: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", schema.CORRUPT_COLUMN)
 
 
-def latest_run(dataset: DataFrame) -> DataFrame:
-    """The rows of a dataset that belong to its greatest ``run_id``."""
-    newest = dataset.agg(F.max("run_id")).scalar()
+def latest_run(dataset: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """The rows of a dataset that belong to the greatest ``run_id``.
+
+    The id is looked up in ``runs``, by default in the dataset itself. With
+    :func:`read_summary` it is that of the latest finished run, found without opening
+    the dataset; either way only that run's folder is read for the rows.
+    """
+    newest = (dataset if runs is None else runs).agg(F.max("run_id")).scalar()
     return dataset.where(F.col("run_id") == newest)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom import schema
-from clickloom.operators import metrics
+from clickloom.operators import metrics, quality
 from clickloom.operators.cleaning import cleaned_events
 from clickloom.sources import layout, readers, writers
 from helpers import event, optimized, plan, raw_frame, rows
@@ -263,6 +263,13 @@ def test_latest_run_of_a_dataset(spark, tmp_path):
         writers.write_cleaned(frame, out, run_id)
     latest = readers.latest_run(readers.read_cleaned(spark, out))
     assert [r.run_id for r in latest.collect()] == ["20240103_000000"]
+    assert "PartitionFilters: [isnotnull(run_id" in plan(latest)
+    # The greatest run has no summary, so it is not finished.
+    for run_id in ("20240101_000000", "20240102_000000"):
+        writers.write_summary(quality.run_summary(frame), out, run_id)
+    finished = readers.read_summary(spark, out)
+    latest = readers.latest_run(readers.read_cleaned(spark, out), finished)
+    assert [r.run_id for r in latest.collect()] == ["20240102_000000"]
 
 
 def test_run_ids_stay_text(spark, tmp_path):
