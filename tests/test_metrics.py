@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clickloom.operators import metrics, quality
@@ -47,6 +51,67 @@ def test_exact_results_do_not_depend_on_partitioning(raw, cleaned):
         assert rows(df) == wanted[name]
 
 
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.builds(
+            event,
+            user_id=st.sampled_from(["a", "b", "c", None]),
+            session_id=st.integers(0, 10**9).map(str),
+            timestamp=st.sampled_from(
+                ["2024-01-07 10:11:12", "2024-01-07 10:59:59", "2024-01-08 00:00:00"]
+            ),
+            region=st.sampled_from(["N", "S", None]),
+            device=st.sampled_from(["mobile", None]),
+            duration_sec=st.sampled_from([1, 59, 60, 300, 301]),
+            price=st.sampled_from([0.0, 0.1, 99.99, 500.01]),
+        ),
+        max_size=50,
+        unique_by=lambda row: row[1],
+    )
+)
+def test_metrics_against_brute_force(spark, events):
+    cleaned = cleaned_events(raw_frame(spark, *events))
+    names = cleaned.columns
+    groups = {"hour": {}, "device": {}, "user": {}, "day": {}}
+    for values in cleaned.collect():
+        r = dict(zip(names, values))
+        for kind, key in [
+            ("hour", (r["region"], r["event_date"], r["event_hour"])),
+            ("device", (r["device"], r["session_category"])),
+            ("user", (r["user_id"], r["region"])),
+            ("day", (r["event_date"],)),
+        ]:
+            groups[kind].setdefault(key, []).append(r)
+
+    def users(rs):
+        return len({r["user_id"] for r in rs})
+
+    def spent(rs):
+        return float(sum(Decimal(str(r["price"])) for r in rs))
+
+    def seconds(rs):
+        return sum(r["duration_sec"] for r in rs)
+
+    results = metrics.analyze(cleaned, exact_money=True)
+    assert {tuple(r) for r in results["activity_by_region_hour"].collect()} == {
+        (*k, len(rs), users(rs), seconds(rs) / len(rs), spent(rs), spent(rs) / len(rs))
+        for k, rs in groups["hour"].items()
+    }
+    assert {tuple(r) for r in results["device_statistics"].collect()} == {
+        (*k, len(rs), seconds(rs) / len(rs), users(rs)) for k, rs in groups["device"].items()
+    }
+    assert {tuple(r) for r in results["daily_activity"].collect()} == {
+        (*k, len(rs), users(rs), spent(rs)) for k, rs in groups["day"].items()
+    }
+    best = sorted(groups["user"].items(), key=lambda kv: (-len(kv[1]), kv[0]))
+    assert [tuple(r) for r in results["top_users"].collect()] == [
+        (*k, len(rs), seconds(rs), spent(rs), n + 1) for n, (k, rs) in enumerate(best)
+    ]
+
+
 def test_top_users_ranks_ties_by_user_and_region(spark):
     events = [
         event(user_id=u, region=r, session_id=f"{u}{r}{i}")
