@@ -1,5 +1,6 @@
 """Command line, for ``spark-submit`` or ``python -m clickloom``.
 
+    profile --input <csv path>
     run --input <csv path> --output <folder> [--run-id ID] [--quarantine] [--exact-money]
     verify --output <folder> [--run-id ID]
 """
@@ -11,21 +12,27 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from clickloom import schema
 from clickloom.operators import metrics
+from clickloom.operators.quality import raw_profile
 from clickloom.plans import batch, verify
 from clickloom.sources import readers
 
 
+def _show_sample(spark: SparkSession, output: str, run_id: str, columns: list[str], rows: int):
+    """The earliest cleaned events, looked for in the folder of the first day only."""
+    first_day = readers.read_summary(spark, output, run_id).select("min_date").scalar()
+    cleaned = readers.read_cleaned(spark, output, run_id).where(F.col("event_date") == first_day)
+    sample = metrics.cleaned_sample(cleaned.select("event_timestamp", *columns), rows)
+    sample.drop("event_timestamp").show(truncate=False)
+
+
 def _show_run(spark: SparkSession, output: str, run_id: str) -> None:
-    cleaned = readers.read_cleaned(spark, output, run_id)
     activity = readers.read_aggregate(spark, output, "activity_by_region_hour", run_id)
     daily = readers.read_aggregate(spark, output, "daily_activity", run_id)
-    summary = readers.read_summary(spark, output, run_id)
-    summary.show(truncate=False)
-    # Sampled from the first day, so that only its folder is read.
-    first_day = cleaned.where(F.col("event_date") == summary.select("min_date").scalar())
-    columns = ["event_timestamp", "user_id", "action", "event_date", "region", "duration_sec"]
-    metrics.cleaned_sample(first_day.select(*columns)).show(truncate=False)
+    readers.read_summary(spark, output, run_id).show(truncate=False)
+    columns = ["user_id", "action", "event_date", "region", "duration_sec"]
+    _show_sample(spark, output, run_id, columns, schema.CLEANED_SAMPLE_ROWS)
     metrics.top_regions(activity).show(truncate=False)
     metrics.recent_days(daily).show(truncate=False)
 
@@ -33,6 +40,8 @@ def _show_run(spark: SparkSession, output: str, run_id: str) -> None:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="clickloom")
     commands = parser.add_subparsers(dest="command", required=True)
+    profile = commands.add_parser("profile", help="count rows and defects of raw CSV files")
+    profile.add_argument("--input", required=True)
     run = commands.add_parser("run", help="process raw CSV files")
     run.add_argument("--input", required=True)
     run.add_argument("--output", required=True)
@@ -46,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
 
     # Master, memory and shuffle settings come from spark-submit.
     spark = SparkSession.builder.appName("clickloom").getOrCreate()
+    if args.command == "profile":
+        raw_profile(readers.read_clickstream(spark, args.input)).show(truncate=False)
+        return 0
     if args.command == "run":
         run_id = batch.run(
             spark,
@@ -56,6 +68,8 @@ def main(argv: list[str] | None = None) -> int:
             exact_money=args.exact_money,
         )
         print(f"run {run_id} written to {args.output}")
+        if args.quarantine:
+            print(f"malformed lines: {readers.read_corrupt(spark, args.output, run_id).count()}")
         _show_run(spark, args.output, run_id)
         return 0
 
@@ -65,6 +79,7 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     print(f"run {run_id}")
     verify.verify_outputs(spark, args.output, run_id).show(truncate=False)
+    _show_sample(spark, args.output, run_id, ["user_id", "action", "event_date"], 3)
     checks = verify.reconcile_outputs(spark, args.output, run_id)
     checks.show(truncate=False)
     return 0 if checks.where("NOT coalesce(ok, false)").isEmpty() else 1

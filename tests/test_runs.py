@@ -140,12 +140,22 @@ def test_run_ids_grow_with_time():
 def test_command_line(spark, csv_path, tmp_path, capsys):
     out = str(tmp_path)
     assert cli.main(["verify", "--output", out]) == 1
+    assert cli.main(["profile", "--input", csv_path]) == 0
+    assert "1040" in capsys.readouterr().out
     assert cli.main(["run", "--input", csv_path, "--output", out, "--run-id", "r1"]) == 0
     assert cli.main(["verify", "--output", out]) == 0
     printed = capsys.readouterr().out
     assert "run r1" in printed and "last rank of top_users" in printed
 
 
+def test_command_line_with_quarantine(spark, small, tmp_path, capsys):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    fixture.clickstream_lines(spark, small).write.text(source)
+    arguments = ["--input", source, "--output", out, "--run-id", "r1", "--quarantine"]
+    assert cli.main(["run", *arguments, "--exact-money"]) == 0
+    assert "malformed lines: 75" in capsys.readouterr().out
+
+
 def test_scratch_folder_is_under_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = fixture.scratch_folder(spark), fixture.scratch_folder(spark)
