@@ -22,11 +22,13 @@ def write_cleaned(cleaned: DataFrame, output: str, run_id: str) -> None:
     After deduplication every task holds rows of every day and would open a file for
     each. Rebalancing by day first keeps the number of files near the data size, and
     adaptive execution splits a day that outgrows the advisory partition size over as
-    many tasks as it needs, so a day is never tied to one task.
+    many tasks as it needs, so a day is never tied to one task. Where adaptive execution
+    is off nothing would split it, so the rows are written from where they are.
     """
+    if cleaned.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true":
+        cleaned = cleaned.hint("rebalance", "event_date")
     (
-        cleaned.hint("rebalance", "event_date")
-        .write.mode("overwrite")
+        cleaned.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")  # no days left over from an attempt
         .partitionBy("event_date")
         .parquet(layout.run_path(layout.cleaned_path(output), run_id))

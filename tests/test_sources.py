@@ -157,8 +157,9 @@ def test_a_day_is_read_from_its_own_folder(spark, cleaned, tmp_path):
     assert "ReadSchema: struct<price:double>" in scan
 
 
-def test_a_day_larger_than_a_partition_is_written_by_several_tasks(spark, tmp_path):
-    """All rows on one day: rebalancing still splits them."""
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_day_larger_than_a_partition_is_written_by_several_tasks(spark, tmp_path, adaptive):
+    """All rows on one day are still split over tasks."""
     n = 60_000
     times = F.concat(
         F.lit("2024-01-05 "), F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00")
@@ -176,13 +177,18 @@ def test_a_day_larger_than_a_partition_is_written_by_several_tasks(spark, tmp_pa
             F.lit(1.0).alias("price"),
         )
     )
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "256KB")
+    settings = {
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         writers.write_cleaned(df, str(tmp_path), "r1")
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     back = readers.read_cleaned(spark, str(tmp_path), "r1")
     assert back.count() == n
     assert back.select(F.input_file_name()).distinct().count() > 4
