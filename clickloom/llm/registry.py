@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from clickloom.llm import chat_prefix, fair_mixing
+from clickloom.llm import chat_prefix, fair_mixing, ffd_packing, merkle, token_store
 
 OPERATORS = {
     "op1_chat_prefix": chat_prefix,
+    "op2_token_store": token_store,
+    "op4_merkle": merkle,
+    "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
 }
 

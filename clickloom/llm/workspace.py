@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +16,25 @@ def shared_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once an application.
+
+    The archive is made in the driver's own folder; Spark itself takes it to executors.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix=f"{package.name}-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        code = Path(folder) / "code" / package.name
+        shutil.copytree(package, code, ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", code.parent))
+        _shipped.add(application)
+
+
 class Workspace:
     """A fresh folder of Parquet tables, deleted when the session's JVM ends.
 
@@ -20,6 +43,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship_package(spark)
         self.spark = spark
         self.path = f"{shared_root(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
         root, self._fs = self._resolve(self.path)
