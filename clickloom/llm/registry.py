@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from clickloom.llm import chat_prefix, fair_mixing, ffd_packing, merkle, token_store
+from clickloom.llm import chat_prefix, fair_mixing, ffd_packing, merkle, token_store, vector_sharding
 
 OPERATORS = {
     "op1_chat_prefix": chat_prefix,
     "op2_token_store": token_store,
     "op4_merkle": merkle,
+    "op6_vector_sharding": vector_sharding,
     "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
 }
