@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from clickloom.llm import chat_prefix, fair_mixing, ffd_packing, merkle, token_store, vector_sharding
+from clickloom.llm import (
+    chat_prefix,
+    fair_mixing,
+    ffd_packing,
+    language_gru,
+    merkle,
+    token_store,
+    toxicity_chain,
+    vector_sharding,
+)
 
 OPERATORS = {
     "op1_chat_prefix": chat_prefix,
     "op2_token_store": token_store,
     "op4_merkle": merkle,
+    "op5_language_gru": language_gru,
     "op6_vector_sharding": vector_sharding,
+    "op8_toxicity_chain": toxicity_chain,
     "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
 }
