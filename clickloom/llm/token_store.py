@@ -65,13 +65,17 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
 
 
 def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(content) if content else None
+    if not content:
+        return None
+    dictionary = zstandard.ZstdCompressionDict(content)
+    dictionary.precompute_compress(level=LEVEL)
+    return dictionary
 
 
 def _write(batches, content: bytes, tokenizer: str, end_id: int):
     """Blocks from rows of (slice, doc_id, text) in order."""
     encode, end = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
-    compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(content)).compress
+    compress = zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(content)).compress
     digest = hashlib.sha256(content).hexdigest()
     at, block, doc_ids, counts, frames, size = None, 0, [], [], [], 0
 

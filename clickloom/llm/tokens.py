@@ -16,41 +16,75 @@ REMEMBERED = 1_000_000
 class Encoder:
     """Encodes texts word by word and remembers the ids of words.
 
-    Both tokenizers cut a text before every single space, so the ids of a text are those
-    of its words in a row. Texts with other white space than single spaces and line
-    breaks go to the tokenizer whole. Ids are unsigned 32-bit little-endian bytes.
+    Both tokenizers cut a text before every single space or line break, and between
+    letters and a sign, so the ids of a text are those of its words in a row. Texts with
+    other white space go to the tokenizer whole. Ids are unsigned 32-bit little-endian
+    bytes.
     """
 
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words = _Words(self._whole)
+        self.words = _Words(self._whole, self._letters)
+        self.model = self.tokenizer.model
+        self.space = " " if self._whole(" a") != self._whole("a") else ""
+        self.lower = self._whole("A") == self._whole("a")
 
     def _whole(self, text: str) -> bytes:
         ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
         return ids.tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of Latin letters behind a space: the model alone, for speed."""
+        word = self.space + (word.lower() if self.lower else word)
+        known = word.encode().decode("latin-1").translate(_ALPHABET)
+        return array("I", [token.id for token in self.model.tokenize(known)]).tobytes()
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if _ODD_SPACE.search(text):
             return self._whole(text)
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         return (self._whole(first) if first else b"") + b"".join(map(self.words.__getitem__, rest))
 
 
+def _alphabet() -> dict[int, int]:
+    """The characters that stand for bytes in byte-level vocabularies.
+
+    Visible Latin-1 characters stand for themselves, the other bytes in order for
+    characters from 256 on.
+    """
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (byte for byte in range(256) if byte not in visible)
+    return {byte: 256 + place for place, byte in enumerate(others)}
+
+
+_ALPHABET = _alphabet()
+#: Letters below this one are the same in all versions of Unicode.
+_LATIN_END = "\u0250"
 #: White space but for blanks and line breaks, or two in a row.
 _ODD_SPACE = re.compile(r"[^\S \n]|\s\s")
 
 
+#: Signs that are a word of their own behind letters.
+_SIGNS = ".,;:!?"
+
+
 class _Words(dict):
-    """Ids of words that follow a space."""
+    """Ids of words that follow a space or start with a line break."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, letters):
+        self.encode, self.letters = encode, letters
+        self.signs = {sign: encode(sign) for sign in _SIGNS}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(" " + word)
+        if word[-1:] in _SIGNS and word[:-1].isalpha():
+            return self[word[:-1]] + self.signs[word[-1]]
+        if word.isalpha() and max(word) < _LATIN_END:
+            ids = self.letters(word)
+        else:
+            ids = self.encode(word if word[:1] == "\n" else " " + word)
         if len(self) < REMEMBERED:
             self[word] = ids
         return ids
