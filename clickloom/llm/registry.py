@@ -8,6 +8,7 @@ from clickloom.llm import (
     ffd_packing,
     language_gru,
     merkle,
+    minhash_forest,
     token_store,
     toxicity_chain,
     vector_sharding,
@@ -16,6 +17,7 @@ from clickloom.llm import (
 OPERATORS = {
     "op1_chat_prefix": chat_prefix,
     "op2_token_store": token_store,
+    "op3_minhash_forest": minhash_forest,
     "op4_merkle": merkle,
     "op5_language_gru": language_gru,
     "op6_vector_sharding": vector_sharding,
