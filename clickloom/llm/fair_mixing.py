@@ -195,15 +195,13 @@ def mixed_documents(
     )
     ends = cutoffs(spark, sizes, weights, share, passes)
     ends = ends.select(F.col("source").alias("of"), *(f"last_key_{p}" for p in range(passes)))
-    own, of = docs.alias("own"), ends.alias("ends")
-    found = own.join(of, F.col("own.source").eqNullSafe(F.col("ends.of")))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    found = rows.join(ends, F.col("row.source").eqNullSafe(F.col("of")))
     copies = F.when(
-        size_of(F.col("own.text")) > 0,
-        _copies(shuffle_key(F.col("own.doc_id"), F.col("own.text")), passes),
+        size_of(F.col("row.text")) > 0,
+        _copies(shuffle_key(F.col("row.doc_id"), F.col("row.text")), passes),
     ).otherwise(F.lit(0))
-    return found.select(
-        *(F.col(f"own.`{c}`") for c in docs.columns), F.explode(F.array_repeat(F.lit(0), copies)).alias("_")
-    ).drop("_")
+    return found.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

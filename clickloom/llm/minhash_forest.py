@@ -92,19 +92,19 @@ def class_key(found: np.ndarray) -> bytes:
 
 def _sketch(batches, words: int, length: int):
     for batch in batches:
-        ids, keys, sizes, nodes, signs = [], [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        keys, sizes, nodes, signs = [], [], [], []
+        for text in batch.column("text").to_pylist():
             found = shingles(text, words)
-            ids.append(doc_id)
             sizes.append(len(found))
             keys.append(class_key(found) if len(found) else None)
             values = signature(found)
             nodes.append(nodes_of(values, length).tolist() if len(found) else [])
             signs.append(values.astype(np.uint8).tobytes())
-        types = [pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+        types = [pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+        made = [pa.array(v, t) for v, t in zip((keys, sizes, nodes, signs), types)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip((ids, keys, sizes, nodes, signs), types)],
-            names=["doc_id", "key", "size", "nodes", "sign"],
+            [batch.column("doc_id"), batch.column("at"), *made],
+            names=["doc_id", "at", "key", "size", "nodes", "sign"],
         )
 
 
@@ -275,9 +275,9 @@ def _verified(table_runs, similarity: float):
 def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
     """Rows (a, b, links) of all verified block pairs."""
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
-    chosen = groups.join(classes.select("id", "doc_id", "key", "copies", "size"), groups.node == classes.id)
+    chosen = groups.join(classes.select("id", "first", "key", "copies", "size"), groups.node == classes.id)
     chosen = work.save(
-        chosen.select("label", "id", "doc_id", "key", "copies", band.alias("band")), "chosen"
+        chosen.select("label", "id", "first", "key", "copies", band.alias("band")), "chosen"
     )
     # a group of more than a block is cut into bands of sizes, a band into blocks
     whole = chosen.groupBy("label").agg(F.count("*").alias("members"))
@@ -315,10 +315,10 @@ def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
             "copies",
         )
     )
-    texts = docs.select("doc_id", "text").join(chosen.select("doc_id", "key", "id"), "doc_id")
-    kind = "doc_id long, id long, shingles binary"
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))
+    texts = docs.join(chosen.select("first", "key", "id"), same)
     sets = work.save(
-        texts.select("doc_id", "id", "key", "text").mapInArrow(lambda b: _with_shingles(b, words), kind),
+        texts.select("id", "key", "text").mapInArrow(lambda b: _with_shingles(b, words), "id long, shingles binary"),
         "shingles",
     ).dropDuplicates(["id"])
     sorted_ = (
@@ -333,54 +333,75 @@ def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
     )
 
 
-def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id and n_links.
-
-    ``n_links`` is the number of other documents whose shingle set has a Jaccard
-    similarity of at least ``similarity``, copies counted one by one. ``class_id`` is the
-    least doc_id that links connect a document with. Documents of less than ``words``
-    words are one run of words; those without words (null, empty, blank) link to nothing.
-    A null doc_id takes part and counts as the largest, and a class of such rows alone
-    has a null class_id. Repeated rows are documents of their own; an empty table gives
-    no rows; other columns are ignored.
-    """
-    spark = docs.sparkSession
-    work = Workspace(spark, "forest")
+def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """The sketch of every row, and (key, label, n_links) of every class of equal sets."""
+    work = Workspace(docs.sparkSession, "forest")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     length = prefix_length(similarity)
-    kind = "doc_id long, key binary, size int, nodes array<long>, sign binary"
-    sketch = work.save(rows.mapInArrow(lambda b: _sketch(b, words, length), kind), "sketch")
+    kind = "doc_id long, at long, key binary, size int, nodes array<long>, sign binary"
+    hashed = rows.select("doc_id", "text", F.xxhash64("text").alias("at"))
+    sketch = work.save(hashed.mapInArrow(lambda b: _sketch(b, words, length), kind), "sketch")
     known = sketch.filter("key IS NOT NULL")
-    heads = known.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"))
+    first = F.min(F.struct("doc_id", "at")).alias("first")
+    heads = known.groupBy("key").agg(F.count("*").alias("copies"), first)
     one = known.dropDuplicates(["key"]).select("key", "size", "nodes", "sign")
-    identity = F.xxhash64("key")
+    identity = F.xxhash64("key").alias("id")
     classes = work.save(
-        heads.join(one, "key").select(identity.alias("id"), "key", "copies", "doc_id", "size", "nodes", "sign"),
-        "classes",
+        heads.join(one, "key").select(identity, "key", "copies", "first", "size", "nodes", "sign"), "classes"
     )
     groups = work.save(components(work, _candidate_edges(classes, work), "candidate"), "groups")
-    verified = _verify(rows, classes, groups, work, words, similarity)
+    verified = _verify(hashed, classes, groups, work, words, similarity)
     labels = work.save(components(work, verified.select("a", "b"), "linked"), "linked")
     links = verified.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     found = (
-        classes.select("id", "key", "copies", "doc_id")
+        classes.select("id", "key", "copies")
         .join(labels.select(F.col("node").alias("id"), "label"), "id", "left")
         .join(links, "id", "left")
-        .withColumn("label", F.coalesce("label", "id"))
     )
-    least = found.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    per_class = found.join(least, "label").select(
-        "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    per_class = found.select("key", F.coalesce("label", "id").alias("label"), n_links.alias("n_links"))
+    return sketch, work.save(per_class, "per_class")
+
+
+def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, class_id and n_links.
+
+    ``n_links`` is the number of other documents whose shingle set has a Jaccard
+    similarity of at least ``similarity``, copies counted one by one. ``class_id`` is the
+    least doc_id that links connect a document with. Documents of less than ``words``
+    words are one run of words; those without words (null, empty, blank) link to nothing.
+    A null doc_id takes part; a class of such rows alone has a null class_id. Repeated
+    rows are documents of their own; an empty table gives no rows; other columns are
+    ignored.
+    """
+    sketch, per_class = _linked(docs, words, similarity)
+    rows = sketch.select("doc_id", "key").join(per_class, "key", "left")
+    least = sketch.select("doc_id", "key").join(per_class, "key").groupBy("label")
+    least = least.agg(F.min("doc_id").alias("class_id")).withColumnRenamed("label", "of")
+    return rows.join(least, F.col("label") == F.col("of"), "left").select(
+        "doc_id",
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
-    return (
-        sketch.select("doc_id", "key", "size")
-        .join(per_class, "key", "left")
-        .select(
-            "doc_id",
-            F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        )
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """The document with the least id of every class, all columns.
+
+    Rows equal in id and text are one document; documents without words all stay.
+    """
+    sketch, per_class = _linked(docs, words, similarity)
+    of = F.coalesce(F.col("label").cast("string"), F.concat_ws("/", F.lit("none"), "doc_id", "at"))
+    chosen = sketch.join(per_class, "key", "left").groupBy(of.alias("of"))
+    chosen = chosen.agg(F.min(F.struct("doc_id", "at")).alias("first"))
+    chosen = chosen.select(F.col("first.doc_id").alias("kept_id"), F.col("first.at").alias("kept_at"))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64("text").alias("at"),
     )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("at") == F.col("kept_at"))
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["id", "at"]).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from clickloom.llm import (
     chat_prefix,
     fair_mixing,
     ffd_packing,
     language_gru,
+    learned_partitions,
     merkle,
     minhash_forest,
     token_store,
@@ -21,6 +23,7 @@ OPERATORS = {
     "op4_merkle": merkle,
     "op5_language_gru": language_gru,
     "op6_vector_sharding": vector_sharding,
+    "op7_learned_partitions": learned_partitions,
     "op8_toxicity_chain": toxicity_chain,
     "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
@@ -28,8 +31,9 @@ OPERATORS = {
 
 
 def queries() -> dict:
-    return {name: module.query for name, module in OPERATORS.items()}
+    return {name: module.query for name, module in OPERATORS.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: module.SQL for name, module in OPERATORS.items() if hasattr(module, "SQL")}
+    found = {name: module.SQL for name, module in OPERATORS.items() if hasattr(module, "SQL")}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -81,7 +81,7 @@ class _Words(dict):
     def __missing__(self, word: str) -> bytes:
         if word[-1:] in _SIGNS and word[:-1].isalpha():
             return self[word[:-1]] + self.signs[word[-1]]
-        if word.isalpha() and max(word) < _LATIN_END:
+        if word.isalpha() and max(word) < _LATIN_END and word.lower().isalpha():
             ids = self.letters(word)
         else:
             ids = self.encode(word if word[:1] == "\n" else " " + word)

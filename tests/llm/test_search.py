@@ -1,0 +1,149 @@
+"""The similarity join and nearest neighbours against brute force."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm import components, learned_partitions, minhash_forest, neighbour_router
+from clickloom.llm.workspace import Workspace
+
+
+def runs(text):
+    words = (text or "").split()
+    length = min(5, len(words))
+    return frozenset(tuple(words[i : i + length]) for i in range(len(words) - length + 1)) if words else frozenset()
+
+
+def brute(rows):
+    """(doc_id, class_id, n_links) of every row, in order."""
+    sets = [runs(text) for _, text in rows]
+    where = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            where[x].append(i)
+    both = Counter()
+    for found in where.values():
+        both.update((a, b) for k, a in enumerate(found) for b in found[k + 1 :])
+    parent, links = list(range(len(rows))), Counter()
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for (a, b), n in both.items():
+        if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n) - 1e-9:
+            links[a] += 1
+            links[b] += 1
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    ids = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        ids[find(i)].append(doc_id)
+    least = {root: min((d for d in found if d is not None), default=None) for root, found in ids.items()}
+    return [(doc_id, least[find(i)] if sets[i] else doc_id, links[i]) for i, (doc_id, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_join_equals_brute_force(documents, block, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "BLOCK", block)
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    found = [tuple(r) for r in minhash_forest.join(documents).collect()]
+    assert sorted(found) == sorted(brute(rows))
+
+
+def test_join_of_a_group_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "BLOCK", 16)
+    draw = np.random.default_rng(3)
+    base = [f"w{i}" for i in draw.integers(0, 400, 150)]
+    rows = []
+    for i in range(150):
+        words = base.copy()
+        for at in draw.integers(0, len(words), int(draw.integers(0, 5))):
+            words[at] = f"x{draw.integers(0, 1000)}"
+        rows.append((i, " ".join(words[: int(draw.integers(110, 151))])))
+    rows += [(1000 + i, " ".join(f"u{i}v{j}" for j in range(30))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in minhash_forest.join(docs).collect()]
+    assert sorted(found) == sorted(brute(rows))
+
+
+def test_join_of_odd_rows(odd, empty):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    found = [tuple(r) for r in minhash_forest.join(odd).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, brute(rows)))
+    kept = minhash_forest.keep_one(odd)
+    assert kept.columns == odd.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(ids, key=lambda i: (i is None, i)) == [-3, 1, 2, 3, 4, 5, 6, 7, 9, 10, None]
+    assert minhash_forest.join(empty).count() == 0 and minhash_forest.keep_one(empty).count() == 0
+
+
+def test_prefix_is_shortened_to_the_recall():
+    length = minhash_forest.prefix_length()
+    assert 1 - (1 - 0.8**length) ** minhash_forest.TREES >= minhash_forest.RECALL
+    assert 1 - (1 - 0.8 ** (length + 1)) ** minhash_forest.TREES < minhash_forest.RECALL
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    found = {r.node: r.label for r in components.components(Workspace(spark, "test"), df, "c").collect()}
+    assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+
+
+def exact(rows, queries):
+    """The nearest of each query by full search, as (query, rank, vec_id)."""
+    members = {}
+    for vec_id, vector in rows:
+        if vec_id is None or not vector or any(x is None or not math.isfinite(x) for x in vector) or not any(vector):
+            continue
+        members[vec_id] = np.array(vector, float)
+    ids = sorted(members)
+    matrix = np.array([members[i] for i in ids])
+    found = {}
+    for q in ids:
+        if q % 20 == 0:
+            scores = (matrix * members[q]).sum(axis=1)
+            order = sorted((i for i in range(len(ids)) if ids[i] != q), key=lambda i: (-scores[i], ids[i]))
+            found[q] = [ids[i] for i in order[:queries]]
+    return found
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_search_recall(spark, folder):
+    path = f"/root/testdata/{folder}"
+    table = spark.read.parquet(f"{path}/embeddings.parquet")
+    truth = exact([(r.vec_id, r.embedding) for r in table.collect()], 20)
+    found = defaultdict(list)
+    for r in learned_partitions.query(spark, path).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+        assert r["rank"] == len(found[r.query_id])
+    hits = sum(len(set(found[q]) & set(near)) for q, near in truth.items())
+    assert hits >= 0.9 * sum(map(len, truth.values()))
+
+
+def test_search_of_odd_vectors(spark):
+    same = [0.5, 0.5, 0.0]
+    rows = [(i, same) for i in range(0, 60)] + [(100, [1.0, 0.0, 0.0]), (120, [0.0, 0.0, 0.0]), (140, None)]
+    rows += [(160, [1.0, None, 0.0]), (180, [float("nan"), 1.0, 0.0]), (200, [float("inf"), 0.0, 0.0]), (None, same), (0, same)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit("x"))
+    found = defaultdict(list)
+    for r in learned_partitions.search(table, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+    assert dict(found) == exact(rows, 20)
+    assert learned_partitions.search(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_cut_is_balanced_and_better_than_chance():
+    draw = np.random.default_rng(0)
+    centres = draw.standard_normal((8, 16)) * 3
+    vectors = (centres[draw.integers(0, 8, 1024)] + draw.standard_normal((1024, 16))).astype(np.float32)
+    graph = neighbour_router.neighbour_graph(vectors, 10)
+    labels = neighbour_router.balanced_cut(graph, neighbour_router.halved(vectors, 4), 4)
+    assert np.bincount(labels, minlength=4).max() <= math.ceil(256 * neighbour_router.SLACK)
+    assert (labels[graph] == labels[:, None]).mean() > 0.6
