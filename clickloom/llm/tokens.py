@@ -67,6 +67,11 @@ _LATIN_END = "\u0250"
 _ODD_SPACE = re.compile(r"[^\S \n]|\s\s")
 
 
+def _letters_only(word: str) -> bool:
+    """Letters, in lower case too: a dotted capital I becomes a letter and a mark."""
+    return word.isalpha() and word.lower().isalpha()
+
+
 #: Signs that are a word of their own behind letters.
 _SIGNS = ".,;:!?"
 
@@ -79,9 +84,9 @@ class _Words(dict):
         self.signs = {sign: encode(sign) for sign in _SIGNS}
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in _SIGNS and word[:-1].isalpha():
+        if word[-1:] in _SIGNS and _letters_only(word[:-1]):
             return self[word[:-1]] + self.signs[word[-1]]
-        if word.isalpha() and max(word) < _LATIN_END and word.lower().isalpha():
+        if _letters_only(word) and max(word) < _LATIN_END:
             ids = self.letters(word)
         else:
             ids = self.encode(word if word[:1] == "\n" else " " + word)
