@@ -19,8 +19,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickloom.fixtures.queries import queries, write_csv  # noqa: E402
-from clickloom.fixtures.raw import scratch_folder  # noqa: E402
 from clickloom.plans import batch  # noqa: E402
+from clickloom.sources.scratch import scratch_folder  # noqa: E402
 
 HEADLINE = [
     "dedupe_events",

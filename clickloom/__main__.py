@@ -1,7 +1,8 @@
 """Command line, for ``spark-submit`` or ``python -m clickloom``.
 
     profile --input <csv path>
-    run --input <csv path> --output <folder> [--run-id ID] [--quarantine] [--exact-money]
+    run --input <csv path> --output <folder> [--run-id ID] [--quarantine]
+        [--double-money] [--single-file] [--day-buckets N]
     verify --output <folder> [--run-id ID]
 """
 
@@ -16,7 +17,7 @@ from clickloom import schema
 from clickloom.operators import metrics
 from clickloom.operators.quality import raw_profile
 from clickloom.plans import batch, verify
-from clickloom.sources import readers
+from clickloom.sources import readers, writers
 
 
 def _show_sample(spark: SparkSession, output: str, run_id: str, columns: list[str], rows: int):
@@ -47,7 +48,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--output", required=True)
     run.add_argument("--run-id")
     run.add_argument("--quarantine", action="store_true", help="set malformed lines aside")
-    run.add_argument("--exact-money", action="store_true", help="sum money as decimals")
+    run.add_argument("--double-money", action="store_true", help="sum money as doubles")
+    run.add_argument("--single-file", action="store_true", help="exactly one file per report")
+    run.add_argument("--day-buckets", type=int, default=writers.DAY_BUCKETS, help="files per day")
     check = commands.add_parser("verify", help="check what a run wrote")
     check.add_argument("--output", required=True)
     check.add_argument("--run-id", help="default: the latest finished run")
@@ -65,7 +68,9 @@ def main(argv: list[str] | None = None) -> int:
             args.output,
             args.run_id,
             quarantine=args.quarantine,
-            exact_money=args.exact_money,
+            exact_money=not args.double_money,
+            single_file=args.single_file,
+            day_buckets=args.day_buckets,
         )
         print(f"run {run_id} written to {args.output}")
         if args.quarantine:

@@ -116,13 +116,15 @@ SELECT nullif(c[1], '') AS user_id, nullif(c[2], '') AS session_id,
        nullif(c[8], '') AS product_id, CAST(nullif(c[9], '') AS DOUBLE) AS price
 FROM cells WHERE fits"""
 
-_TOTAL = "CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE)"
+_EXACT = "TRY_CAST(price AS DECIMAL(28,10))"
+_TOTAL = f"CAST(sum({_EXACT}) AS DOUBLE)"
+_UNSUMMED = f"CAST(count(*) FILTER (WHERE price IS NOT NULL AND {_EXACT} IS NULL) AS BIGINT)"
 _COUNT = "CAST(count(*) AS BIGINT)"
 
 _ACTIVITY = f"""
 SELECT region, event_date, event_hour, {_COUNT} AS total_events,
        count(DISTINCT user_id) AS unique_users, avg(duration_sec) AS avg_duration,
-       {_TOTAL} AS total_revenue, {_TOTAL} / count(price) AS avg_price
+       {_TOTAL} AS total_revenue, {_TOTAL} / count({_EXACT}) AS avg_price
 FROM cleaned GROUP BY region, event_date, event_hour"""
 
 _DEVICES = f"""
@@ -132,7 +134,9 @@ FROM cleaned GROUP BY device, session_category"""
 
 _USERS = f"""
 SELECT user_id, region, {_COUNT} AS total_sessions,
-       CAST(sum(duration_sec) AS BIGINT) AS total_time, {_TOTAL} AS total_spent
+       CAST(sum(duration_sec) AS BIGINT) AS total_time, {_TOTAL} AS total_spent,
+       min(event_date) AS first_date, max(event_date) AS last_date,
+       {_UNSUMMED} AS unsummed_prices
 FROM cleaned GROUP BY user_id, region"""
 
 _TOP = f"""
@@ -148,19 +152,32 @@ FROM cleaned GROUP BY event_date"""
 _REGIONS = f"""
 SELECT region, {_COUNT} AS total_events FROM cleaned GROUP BY region"""
 
-_SUMMARY = f"""
-SELECT {_COUNT} AS cleaned_rows, CAST(15 AS INTEGER) AS column_count,
+_NO_INPUT = """CAST(NULL AS BIGINT) AS raw_rows, CAST(NULL AS BIGINT) AS valid_rows,
+       CAST(NULL AS BIGINT) AS corrupt_rows"""
+_ALL_VALID = f"""(SELECT {_COUNT} FROM raw) AS raw_rows, (SELECT {_COUNT} FROM raw) AS valid_rows,
+       CAST(0 AS BIGINT) AS corrupt_rows"""
+_SOME_VALID = f"""(SELECT {_COUNT} FROM cells) AS raw_rows,
+       (SELECT {_COUNT} FROM cells WHERE fits) AS valid_rows,
+       (SELECT {_COUNT} FROM cells WHERE NOT fits) AS corrupt_rows"""
+
+
+def _summary(input_counts: str) -> str:
+    return f"""
+SELECT {input_counts}, {_COUNT} AS cleaned_rows, CAST(15 AS INTEGER) AS column_count,
        min(event_date) AS min_date, max(event_date) AS max_date,
-       count(DISTINCT user_id) AS distinct_users, count(DISTINCT region) AS distinct_regions
+       count(DISTINCT user_id) AS distinct_users, count(DISTINCT region) AS distinct_regions,
+       {_UNSUMMED} AS unsummed_prices
 FROM cleaned"""
 
+
 _PROFILE = f"""
 SELECT {_COUNT} AS total_rows, count(DISTINCT user_id) AS unique_users,
        count(DISTINCT region) AS unique_regions,
        min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp,
        CAST(count(*) FILTER (WHERE coalesce(user_id, '') = '') AS BIGINT) AS blank_user_ids,
        CAST(count(*) FILTER (WHERE duration_sec < 0) AS BIGINT) AS negative_durations,
-       CAST(count(*) FILTER (WHERE isnan(price)) AS BIGINT) AS nan_prices
+       CAST(count(*) FILTER (WHERE isnan(price)) AS BIGINT) AS nan_prices,
+       {_UNSUMMED} AS unsummed_prices
 FROM raw"""
 
 _SAMPLE_ORDER = """event_timestamp, user_id, session_id, action, "timestamp", region, device,
@@ -170,34 +187,88 @@ _SAMPLE_ORDER = """event_timestamp, user_id, session_id, action, "timestamp", re
 _FROM_CSV = r""",
 reread AS (SELECT * REPLACE (nullif(user_id, '') AS user_id) FROM raw)"""
 
-_CSV_CLEANED = (
-    _FROM_CSV
-    + _DEDUPED.replace("FROM raw", "FROM reread")
-    + _CLEANED
+_LINES_CLEANED = (
+    f",\nreread AS ({_VALID_LINES})" + _DEDUPED.replace("FROM raw", "FROM reread") + _CLEANED
 )
 
-
-def _verify(cte_rows: dict[str, tuple[str, int]]) -> str:
+_CORRUPT = 'SELECT value AS "_corrupt_record" FROM cells WHERE NOT fits'
+
+#: Dataset, its rows, its key columns, and its two counts and two amounts.
+_DATASETS = [
+    (
+        "clickstream_cleaned",
+        "SELECT * FROM cleaned",
+        ["user_id", "session_id", '"timestamp"', "action", "device"],
+        ["duration_sec", "event_hour", "price", "NULL"],
+    ),
+    (
+        "activity_by_region_hour",
+        _ACTIVITY,
+        ["region", "event_date", "event_hour"],
+        ["total_events", "unique_users", "total_revenue", "avg_price"],
+    ),
+    (
+        "device_statistics",
+        _DEVICES,
+        ["device", "session_category"],
+        ["session_count", "unique_users", "avg_duration", "NULL"],
+    ),
+    (
+        "top_users",
+        _TOP,
+        ["rank", "user_id", "region"],
+        ["total_sessions", "total_time", "total_spent", "NULL"],
+    ),
+    (
+        "daily_activity",
+        _DAILY,
+        ["event_date"],
+        ["daily_events", "daily_users", "daily_revenue", "NULL"],
+    ),
+    (
+        "user_activity",
+        _USERS,
+        ["user_id", "region", "first_date", "last_date"],
+        ["total_sessions", "total_time", "total_spent", "unsummed_prices"],
+    ),
+]
+_REPORTS = ("activity_by_region_hour", "device_statistics", "top_users", "daily_activity")
+
+
+def _written(input_counts: str, corrupt: bool) -> str:
+    summary = (
+        "run_summary",
+        _summary(input_counts),
+        ["min_date", "max_date", "raw_rows", "valid_rows", "corrupt_rows"],
+        ["cleaned_rows", "distinct_users", "distinct_regions", "unsummed_prices"],
+    )
+    aside = ("corrupt_records", _CORRUPT, ['"_corrupt_record"'], ["NULL"] * 4)
     parts = []
-    for name, (body, columns) in cte_rows.items():
-        formats = ["parquet"] if name == "clickstream_cleaned" else ["parquet", "csv"]
+    for name, body, keys, values in [*_DATASETS, summary, *([aside] if corrupt else [])]:
+        key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+        count, users, amount, mean = values
+        formats = {"corrupt_records": ["text"]}.get(name, ["parquet", "csv"][: 1 + (name in _REPORTS)])
         parts += [
-            f"SELECT '{name}' AS dataset, '{fmt}' AS format, true AS found, "
-            f"{_COUNT} AS rows, CAST({columns} AS INTEGER) AS columns FROM ({body})"
+            f"""SELECT '{name}' AS dataset, '{fmt}' AS format, {key} AS key,
+       CAST({count} AS BIGINT) AS count, CAST({users} AS BIGINT) AS users,
+       CAST({amount} AS DOUBLE) AS amount, CAST({mean} AS DOUBLE) AS mean FROM ({body})"""
             for fmt in formats
         ]
     return "\nUNION ALL ".join(parts)
 
 
-_VERIFY = _verify(
-    {
-        "clickstream_cleaned": ("SELECT * FROM cleaned", 15),
-        "activity_by_region_hour": (_ACTIVITY, 8),
-        "device_statistics": (_DEVICES, 5),
-        "top_users": (_TOP, 6),
-        "daily_activity": (_DAILY, 4),
-    }
-)
+def _verify() -> str:
+    columns = {"clickstream_cleaned": 15, "activity_by_region_hour": 8, "device_statistics": 5}
+    columns |= {"top_users": 6, "daily_activity": 4, "user_activity": 8}
+    found = [(name, "parquet", body, columns[name]) for name, body, _, _ in _DATASETS]
+    found += [(name, "csv", body, columns[name]) for name, body, _, _ in _DATASETS if name in _REPORTS]
+    found += [("run_summary", "parquet", "SELECT 1", 10), ("corrupt_records", "text", _CORRUPT, 1)]
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS dataset, '{fmt}' AS format, true AS found, "
+        f"{_COUNT} AS rows, CAST({n} AS INTEGER) AS columns FROM ({body})"
+        for name, fmt, body, n in found
+    )
+
 
 _RECONCILE = "\nUNION ALL ".join(
     f"SELECT '{check}' AS \"check\", n AS expected, n AS actual, true AS ok "
@@ -210,6 +281,9 @@ _RECONCILE = "\nUNION ALL ".join(
         ("report rows of device_statistics", _DEVICES),
         ("report rows of top_users", _TOP),
         ("report rows of daily_activity", _DAILY),
+        ("events in user_activity", "SELECT * FROM cleaned"),
+        ("cleaned rows in run_summary", "SELECT * FROM cleaned"),
+        ("valid and corrupt rows of the input", "SELECT * FROM cells"),
         ("last rank of top_users", _TOP),
     ]
 )
@@ -227,8 +301,8 @@ def _lines(body: str) -> str:
     return f"WITH {_RAW}{_LINES}\n{body}"
 
 
-def _csv_cleaned(body: str) -> str:
-    return f"WITH {_RAW}{_CSV_CLEANED}\n{body}"
+def _lines_cleaned(body: str) -> str:
+    return f"WITH {_RAW}{_LINES}{_LINES_CLEANED}\n{body}"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -268,12 +342,12 @@ FROM (SELECT {_STRICT_TIME} AS event_timestamp FROM raw)"""
         "daily_sample": _cleaned(f"{_DAILY} ORDER BY event_date LIMIT 3"),
         # quality
         "raw_profile": _raw(_PROFILE),
-        "run_summary": _cleaned(_SUMMARY),
+        "run_summary": _cleaned(_summary(_ALL_VALID)),
         # sources and sinks
         "read_clickstream": f"WITH {_RAW}{_FROM_CSV}\nSELECT * FROM reread",
         "valid_rows": _lines(_VALID_LINES),
-        "corrupt_rows": _lines('SELECT value AS "_corrupt_record" FROM cells WHERE NOT fits'),
-        "write_corrupt": _lines('SELECT value AS "_corrupt_record" FROM cells WHERE NOT fits'),
+        "corrupt_rows": _lines(_CORRUPT),
+        "write_corrupt": _lines(_CORRUPT),
         "read_cleaned": _cleaned("SELECT * FROM cleaned"),
         "aggregate_activity_by_region_hour": _cleaned(_ACTIVITY),
         "aggregate_device_statistics": _cleaned(_DEVICES),
@@ -283,13 +357,12 @@ FROM (SELECT {_STRICT_TIME} AS event_timestamp FROM raw)"""
         "report_device_statistics": _cleaned(_DEVICES),
         "report_top_users": _cleaned(_TOP),
         "report_daily_activity": _cleaned(_DAILY),
-        "latest_run": _cleaned(f"SELECT *, '20240102_000000' AS run_id FROM ({_SUMMARY})"),
-        "load": _cleaned(_SUMMARY),
+        "latest_run": _cleaned(
+            f"SELECT *, '20240102_000000' AS run_id FROM ({_summary(_NO_INPUT)})"
+        ),
+        "load": _cleaned(_written(_NO_INPUT, corrupt=False)),
         # whole runs, from CSV files
-        "quarantined_run": f"WITH {_RAW}{_LINES},\nreread AS ({_VALID_LINES})"
-        + _DEDUPED.replace("FROM raw", "FROM reread")
-        + _CLEANED
-        + _SUMMARY,
-        "verify_outputs": _csv_cleaned(_VERIFY),
-        "reconcile_outputs": _csv_cleaned(_RECONCILE),
+        "quarantined_run": _lines_cleaned(_written(_SOME_VALID, corrupt=True)),
+        "verify_outputs": _lines_cleaned(_verify()),
+        "reconcile_outputs": _lines_cleaned(_RECONCILE),
     }

@@ -1,17 +1,19 @@
 """Every operator over a table directory, as ``(spark, sf_dir) -> DataFrame``.
 
-Money is summed exactly here, so results can be compared by value. Queries about
-readers and writers write to a fresh scratch folder and return what they read back.
+Queries about readers and writers write to a fresh scratch folder and return what they
+read back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom import schema
-from clickloom.fixtures.raw import clickstream_lines, clickstream_raw, scratch_folder
+from clickloom.fixtures.raw import clickstream_lines, clickstream_raw
 from clickloom.functions import (
     parse_event_time,
     price_category,
@@ -21,6 +23,7 @@ from clickloom.functions import (
 from clickloom.operators import cleaning, metrics, quality
 from clickloom.plans import batch, verify
 from clickloom.sources import readers, writers
+from clickloom.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,11 +40,11 @@ def on_cleaned(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def on_activity(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return on_cleaned(lambda c: operator(metrics.activity_by_region_hour(c, exact_money=True)))
+    return on_cleaned(lambda c: operator(metrics.activity_by_region_hour(c)))
 
 
 def on_daily(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return on_cleaned(lambda c: operator(metrics.daily_activity(c, exact_money=True)))
+    return on_cleaned(lambda c: operator(metrics.daily_activity(c)))
 
 
 def _time_features(raw: DataFrame) -> DataFrame:
@@ -83,7 +86,7 @@ def _read_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _write_one(spark: SparkSession, sf_dir: str, name: str) -> str:
     folder = scratch_folder(spark)
     cleaned = cleaning.cleaned_events(clickstream_raw(spark, sf_dir))
-    result = metrics.analyze(cleaned, exact_money=True)[name]
+    result = metrics.analyze(cleaned)[name]
     writers.write_aggregate(result, folder, name, RUN)
     return folder
 
@@ -103,41 +106,119 @@ def report_round_trip(name: str) -> Query:
     return query
 
 
+def _summary(cleaned: DataFrame) -> DataFrame:
+    return quality.run_summary(metrics.user_activity(cleaned))
+
+
+def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = clickstream_raw(spark, sf_dir)
+    rows = raw.agg(F.count("*")).scalar()
+    users = metrics.user_activity(cleaning.cleaned_events(raw))
+    return quality.run_summary(users, rows, rows, 0)
+
+
 def _latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     raw = clickstream_raw(spark, sf_dir)
     rejected = cleaning.filter_valid(raw).transform(cleaning.enrich)
-    writers.write_summary(quality.run_summary(rejected), folder, RUN)
+    writers.write_summary(_summary(rejected), folder, RUN)
     cleaned = cleaning.cleaned_events(raw)
-    writers.write_summary(quality.run_summary(cleaned), folder, LATER_RUN)
-    return readers.latest_run(readers.read_summary(spark, folder))
+    writers.write_summary(_summary(cleaned), folder, LATER_RUN)
+    runs = readers.read_summary(spark, folder)
+    return readers.latest_run(runs, runs)
+
+
+def written_rows(spark: SparkSession, folder: str, quarantine: bool = False) -> DataFrame:
+    """Every row of every dataset of a run, in one layout.
+
+    ``key`` names the row; its counts and its amounts stand in two columns each.
+    """
+    layouts = {
+        "clickstream_cleaned": (
+            ("user_id", "session_id", "timestamp", "action", "device"),
+            ("duration_sec", "event_hour", "price", None),
+        ),
+        "activity_by_region_hour": (
+            ("region", "event_date", "event_hour"),
+            ("total_events", "unique_users", "total_revenue", "avg_price"),
+        ),
+        "device_statistics": (
+            ("device", "session_category"),
+            ("session_count", "unique_users", "avg_duration", None),
+        ),
+        "top_users": (
+            ("rank", "user_id", "region"),
+            ("total_sessions", "total_time", "total_spent", None),
+        ),
+        "daily_activity": (
+            ("event_date",),
+            ("daily_events", "daily_users", "daily_revenue", None),
+        ),
+        "user_activity": (
+            ("user_id", "region", "first_date", "last_date"),
+            ("total_sessions", "total_time", "total_spent", "unsummed_prices"),
+        ),
+        "run_summary": (
+            ("min_date", "max_date", "raw_rows", "valid_rows", "corrupt_rows"),
+            ("cleaned_rows", "distinct_users", "distinct_regions", "unsummed_prices"),
+        ),
+        "corrupt_records": ((schema.CORRUPT_COLUMN,), (None, None, None, None)),
+    }
+
+    def rows(dataset: str, fmt: str, df: DataFrame) -> DataFrame:
+        keys, (count, users, amount, mean) = layouts[dataset]
+        value = lambda name: F.col(name) if name else F.lit(None)
+        texts = (F.coalesce(F.col(key).cast("string"), F.lit("-")) for key in keys)
+        return df.select(
+            F.lit(dataset).alias("dataset"),
+            F.lit(fmt).alias("format"),
+            F.concat_ws("|", *texts).alias("key"),
+            value(count).cast("long").alias("count"),
+            value(users).cast("long").alias("users"),
+            value(amount).cast("double").alias("amount"),
+            value(mean).cast("double").alias("mean"),
+        )
+
+    found = [
+        rows(dataset, fmt, read())
+        for dataset, fmt, read in verify.datasets(spark, folder, RUN)
+        if quarantine or dataset != "corrupt_records"
+    ]
+    return reduce(DataFrame.unionAll, found)
 
 
 def _load(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     cleaned = cleaning.cleaned_events(clickstream_raw(spark, sf_dir))
     batch.load(cleaned, metrics.analyze, folder, RUN)
-    return readers.read_summary(spark, folder, RUN)
+    return written_rows(spark, folder)
 
 
 def _quarantined_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     clickstream_lines(spark, sf_dir).write.text(f"{folder}/lines")
     batch.run(spark, f"{folder}/lines", folder, RUN, quarantine=True)
-    return readers.read_summary(spark, folder, RUN)
+    return written_rows(spark, folder, quarantine=True)
+
+
+def _verify_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.verify_outputs(spark, whole_run(spark, sf_dir), RUN)
+
+
+def _reconcile_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.reconcile_outputs(spark, whole_run(spark, sf_dir), RUN)
 
 
 def whole_run(spark: SparkSession, sf_dir: str) -> str:
-    """CSV files to a finished run; returns the folder it is in."""
+    """CSV lines to a finished run with quarantine; returns the folder it is in."""
     folder = scratch_folder(spark)
-    path = write_csv(spark, sf_dir, folder)
-    batch.run(spark, path, folder, RUN, exact_money=True)
+    clickstream_lines(spark, sf_dir).write.text(f"{folder}/lines")
+    batch.run(spark, f"{folder}/lines", folder, RUN, quarantine=True)
     return folder
 
 
 def queries() -> dict[str, Query]:
     """All registered queries by name."""
-    money = {"exact_money": True}
     return {
         # cleaning
         "clickstream_raw": clickstream_raw,
@@ -157,13 +238,11 @@ def queries() -> dict[str, Query]:
         "enrich": on_raw(cleaning.enrich),
         "cleaned_events": on_raw(cleaning.cleaned_events),
         # metrics
-        "activity_by_region_hour": on_cleaned(
-            lambda c: metrics.activity_by_region_hour(c, **money)
-        ),
+        "activity_by_region_hour": on_cleaned(metrics.activity_by_region_hour),
         "device_statistics": on_cleaned(metrics.device_statistics),
-        "user_activity": on_cleaned(lambda c: metrics.user_activity(c, **money)),
-        "top_users": on_cleaned(lambda c: metrics.top_users(c, **money)),
-        "daily_activity": on_cleaned(lambda c: metrics.daily_activity(c, **money)),
+        "user_activity": on_cleaned(metrics.user_activity),
+        "top_users": on_cleaned(metrics.top_users),
+        "daily_activity": on_cleaned(metrics.daily_activity),
         "region_rollup": on_activity(metrics.region_rollup),
         "top_regions": on_activity(metrics.top_regions),
         "recent_days": on_daily(metrics.recent_days),
@@ -173,7 +252,7 @@ def queries() -> dict[str, Query]:
         "daily_sample": on_daily(metrics.daily_sample),
         # quality
         "raw_profile": on_raw(quality.raw_profile),
-        "run_summary": on_cleaned(quality.run_summary),
+        "run_summary": _run_summary,
         # sources and sinks
         "read_clickstream": _read_clickstream,
         "valid_rows": _valid_rows,
@@ -186,10 +265,6 @@ def queries() -> dict[str, Query]:
         "load": _load,
         # whole runs, from CSV files
         "quarantined_run": _quarantined_run,
-        "verify_outputs": lambda spark, sf_dir: verify.verify_outputs(
-            spark, whole_run(spark, sf_dir), RUN
-        ),
-        "reconcile_outputs": lambda spark, sf_dir: verify.reconcile_outputs(
-            spark, whole_run(spark, sf_dir), RUN
-        ),
+        "verify_outputs": _verify_outputs,
+        "reconcile_outputs": _reconcile_outputs,
     }

@@ -6,10 +6,6 @@ Every event of the table becomes one row. Which rows carry which defect follows
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +38,14 @@ TEXT_DURATION = 5
 
 BAD_TIMESTAMP_TEXT = "2024-13-45 25:61:61"
 
+DEVICES = ("mobile", "desktop", "tablet")
+FIRST_PRODUCT = 1000
+PRODUCTS = 9000
+REGIONS = 8
+
+#: A fraction of a second, which the raw format does not have.
+FRACTION = r"\.\d+$"
+
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
@@ -59,10 +63,8 @@ def inject_defects(events: DataFrame) -> DataFrame:
     def defect(at: int, value) -> Column:
         return F.when(remainder == at, F.lit(value))
 
-    device = (
-        F.when(event % 3 == 0, "mobile").when(event % 3 == 1, "desktop").otherwise("tablet")
-    )
-    product = F.concat(F.lit("prod_"), (1000 + event % 9000).cast("string"))
+    device = F.get(F.array(*map(F.lit, DEVICES)), (event % len(DEVICES)).cast("int"))
+    product = F.concat(F.lit("prod_"), (FIRST_PRODUCT + event % PRODUCTS).cast("string"))
     return events.select(
         "event_id",
         defect(MISSING_USER, None)
@@ -74,10 +76,10 @@ def inject_defects(events: DataFrame) -> DataFrame:
         .alias("session_id"),
         defect(UNKNOWN_ACTION, "unknown_action").otherwise(F.col("event_type")).alias("action"),
         defect(BAD_TIMESTAMP, BAD_TIMESTAMP_TEXT)
-        .otherwise(F.left(F.col("ts").cast("string"), F.lit(19)))  # to the second
+        .otherwise(F.regexp_replace(F.col("ts").cast("string"), FRACTION, ""))
         .alias("timestamp"),
         defect(MISSING_REGION, None)
-        .otherwise(F.concat(F.lit("region_"), (F.col("user_id") % 8).cast("string")))
+        .otherwise(F.concat(F.lit("region_"), (F.col("user_id") % REGIONS).cast("string")))
         .alias("region"),
         defect(UNKNOWN_DEVICE, "smart_watch")
         .when(remainder == MISSING_DEVICE, None)
@@ -138,17 +140,3 @@ def clickstream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws(",", *cells))
         .alias("value")
     )
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach.
-
-    On a cluster that is a sub-folder of ``spark.checkpoint.dir``; a local folder is
-    used only by a local session without that setting.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return os.path.join(shared, f"clickloom-{uuid.uuid4().hex}")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="clickloom-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

@@ -1,7 +1,7 @@
 """Column expressions. All of them compile to JVM code; there are no Python UDFs."""
 
 from clickloom.functions.categories import price_category, session_category
-from clickloom.functions.money import mean, total
+from clickloom.functions.money import mean, total, unsummed
 from clickloom.functions.temporal import parse_event_time, time_features
 
 __all__ = [
@@ -11,4 +11,5 @@ __all__ = [
     "session_category",
     "time_features",
     "total",
+    "unsummed",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom import schema
-from clickloom.functions import mean, total
+from clickloom.functions import mean, total, unsummed
 
 
 def report_order(name: str) -> list[Column]:
@@ -28,24 +28,12 @@ def report_order(name: str) -> list[Column]:
     }[name]
 
 
-def _events(name: str) -> Column:
-    return F.count("*").alias(name)
-
-
-def _users(name: str) -> Column:
-    return F.count_distinct("user_id").alias(name)
-
-
-def _mean_duration() -> Column:
-    return F.avg("duration_sec").alias("avg_duration")
-
-
-def activity_by_region_hour(cleaned: DataFrame, exact_money: bool = False) -> DataFrame:
+def activity_by_region_hour(cleaned: DataFrame, exact_money: bool = True) -> DataFrame:
     """Events, users, mean duration and revenue per region, day and hour."""
     per_hour = cleaned.groupBy("region", "event_date", "event_hour").agg(
-        _events("total_events"),
-        _users("unique_users"),
-        _mean_duration(),
+        F.count("*").alias("total_events"),
+        F.count_distinct("user_id").alias("unique_users"),
+        F.avg("duration_sec").alias("avg_duration"),
         total("price", exact_money).alias("total_revenue"),
         mean("price", exact_money).alias("avg_price"),
     )
@@ -55,50 +43,70 @@ def activity_by_region_hour(cleaned: DataFrame, exact_money: bool = False) -> Da
 def device_statistics(cleaned: DataFrame) -> DataFrame:
     """Events, mean duration and users per device and session category."""
     per_device = cleaned.groupBy("device", "session_category").agg(
-        _events("session_count"), _mean_duration(), _users("unique_users")
+        F.count("*").alias("session_count"),
+        F.avg("duration_sec").alias("avg_duration"),
+        F.count_distinct("user_id").alias("unique_users"),
     )
     return per_device.orderBy(*report_order("device_statistics"))
 
 
-def user_activity(cleaned: DataFrame, exact_money: bool = False) -> DataFrame:
-    """Events, time and money per user and region. ``total_sessions`` counts events."""
+def user_activity(cleaned: DataFrame, exact_money: bool = True) -> DataFrame:
+    """Events, time, money and days per user and region. ``total_sessions`` counts events.
+
+    ``unsummed_prices`` counts the prices that exact money leaves out.
+    """
     return cleaned.groupBy("user_id", "region").agg(
-        _events("total_sessions"),
+        F.count("*").alias("total_sessions"),
         F.sum("duration_sec").alias("total_time"),
         total("price", exact_money).alias("total_spent"),
+        F.min("event_date").alias("first_date"),
+        F.max("event_date").alias("last_date"),
+        unsummed("price").alias("unsummed_prices"),
     )
 
 
 def top_users(
-    cleaned: DataFrame, exact_money: bool = False, limit: int = schema.TOP_USERS
+    cleaned: DataFrame, exact_money: bool = True, limit: int = schema.TOP_USERS
 ) -> DataFrame:
-    """The most active (user, region) pairs, ranked 1..limit without shared ranks.
+    """The most active (user, region) pairs, ranked 1..limit without shared ranks."""
+    return rank_users(user_activity(cleaned, exact_money), limit)
+
+
+def rank_users(users: DataFrame, limit: int = schema.TOP_USERS) -> DataFrame:
+    """:func:`top_users` from the rows of :func:`user_activity`.
 
     Ties are ordered by user and region, so the list is repeatable. Each task keeps
     its own best ``limit`` rows; the ranking window sees only the merged ``limit``.
     """
     by_activity = [F.desc("total_sessions"), F.asc("user_id"), F.asc("region")]
-    best = user_activity(cleaned, exact_money).orderBy(*by_activity).limit(limit)
+    facts = users.select("user_id", "region", "total_sessions", "total_time", "total_spent")
     rank = F.row_number().over(Window.orderBy(*by_activity))
-    return best.withColumn("rank", rank.cast("long"))
+    return facts.orderBy(*by_activity).limit(limit).withColumn("rank", rank.cast("long"))
 
 
-def daily_activity(cleaned: DataFrame, exact_money: bool = False) -> DataFrame:
+def daily_activity(cleaned: DataFrame, exact_money: bool = True) -> DataFrame:
     """Events, users and revenue per day."""
     per_day = cleaned.groupBy("event_date").agg(
-        _events("daily_events"),
-        _users("daily_users"),
+        F.count("*").alias("daily_events"),
+        F.count_distinct("user_id").alias("daily_users"),
         total("price", exact_money).alias("daily_revenue"),
     )
     return per_day.orderBy(*report_order("daily_activity"))
 
 
-def analyze(cleaned: DataFrame, exact_money: bool = False) -> dict[str, DataFrame]:
-    """The four standard aggregates by name, all lazy."""
+def analyze(
+    cleaned: DataFrame, users: DataFrame | None = None, exact_money: bool = True
+) -> dict[str, DataFrame]:
+    """The four standard aggregates by name, all lazy.
+
+    ``users`` are rows of :func:`user_activity`, where they are already at hand.
+    """
+    if users is None:
+        users = user_activity(cleaned, exact_money)
     return {
         "activity_by_region_hour": activity_by_region_hour(cleaned, exact_money),
         "device_statistics": device_statistics(cleaned),
-        "top_users": top_users(cleaned, exact_money),
+        "top_users": rank_users(users),
         "daily_activity": daily_activity(cleaned, exact_money),
     }
 

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.operators.cleaning import cleaned_events
-from clickloom.operators.metrics import analyze
+from clickloom.operators.metrics import analyze, user_activity
 from clickloom.operators.quality import run_summary
 from clickloom.sources import readers, writers
 
@@ -20,25 +20,32 @@ def new_run_id() -> str:
 
 def load(
     cleaned: DataFrame,
-    analyzer: Callable[[DataFrame], dict[str, DataFrame]],
+    analyzer: Callable[[DataFrame, DataFrame], dict[str, DataFrame]],
     output: str,
     run_id: str,
-    single_file_rows: int = writers.SINGLE_FILE_ROWS,
+    counts: dict[str, int] | None = None,
+    exact_money: bool = True,
+    single_file: bool = False,
+    day_buckets: int = writers.DAY_BUCKETS,
 ) -> None:
     """Write cleaned events once and derive everything else from the written copy.
 
-    The written table cuts the lineage: the input is read and deduplicated once, and
-    aggregates then read only the columns they need. If executors are lost later, the
-    work is redone from Parquet rather than from the raw files. The summary is written
-    last and marks the run as finished.
+    The written table cuts the lineage: the input is deduplicated once, and aggregates
+    then read only the columns they need. Facts per user and region are written next;
+    the top users and the summary come from them. ``analyzer`` is given both tables. If
+    executors are lost later, the work is redone from Parquet rather than from the raw
+    files. The summary, with the input's ``counts``, is written last and marks the run
+    as finished.
     """
     spark = cleaned.sparkSession
-    writers.write_cleaned(cleaned, output, run_id)
+    writers.write_cleaned(cleaned, output, run_id, day_buckets)
     written = readers.read_cleaned(spark, output, run_id)
-    results = analyzer(written)
+    writers.write_user_activity(user_activity(written, exact_money), output, run_id)
+    users = readers.read_user_activity(spark, output, run_id)
+    results = analyzer(written, users)
     writers.write_aggregates(results, output, run_id)
-    writers.write_reports(spark, output, run_id, tuple(results), single_file_rows)
-    writers.write_summary(run_summary(written), output, run_id)
+    writers.write_reports(spark, output, run_id, tuple(results), single_file)
+    writers.write_summary(run_summary(users, **(counts or {})), output, run_id)
 
 
 def run(
@@ -47,13 +54,16 @@ def run(
     output: str,
     run_id: str | None = None,
     quarantine: bool = False,
-    exact_money: bool = False,
-    single_file_rows: int = writers.SINGLE_FILE_ROWS,
+    exact_money: bool = True,
+    single_file: bool = False,
+    day_buckets: int = writers.DAY_BUCKETS,
 ) -> str:
     """Process raw CSV files into one run under ``output``; return its id.
 
     With ``quarantine`` lines that do not fit the schema are written to
-    ``corrupt_records`` and left out; otherwise their unreadable cells become NULL.
+    ``corrupt_records`` and left out; otherwise their unreadable cells become NULL. The
+    input is counted in a pass of its own: counts taken in flight would count the rows
+    of a repeated stage twice.
 
     A run that was cut short can be started again under its id. A finished one cannot:
     its readers would see it half replaced.
@@ -62,15 +72,23 @@ def run(
     if readers.is_finished(spark, output, run_id):
         raise ValueError(f"run {run_id} is already finished")
     if quarantine:
-        raw, corrupt = readers.split_corrupt(readers.read_lines(spark, input_path))
+        lines = readers.read_lines(spark, input_path)
+        raw, corrupt = readers.split_corrupt(lines)
         writers.write_corrupt(corrupt, output, run_id)
+        counts = readers.count_lines(lines)
+        counts["corrupt_rows"] = readers.read_corrupt(spark, output, run_id).count()
     else:
         raw = readers.read_clickstream(spark, input_path)
+        rows = raw.count()
+        counts = {"raw_rows": rows, "valid_rows": rows, "corrupt_rows": 0}
     load(
         cleaned_events(raw),
-        lambda cleaned: analyze(cleaned, exact_money),
+        lambda cleaned, users: analyze(cleaned, users, exact_money),
         output,
         run_id,
-        single_file_rows,
+        counts,
+        exact_money,
+        single_file,
+        day_buckets,
     )
     return run_id

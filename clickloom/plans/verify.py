@@ -11,16 +11,22 @@ from clickloom import schema
 from clickloom.sources import readers
 
 
-def _datasets(spark: SparkSession, output: str, run_id: str):
+def datasets(spark: SparkSession, output: str, run_id: str):
     """(dataset, format, reader) of everything a run writes."""
     yield "clickstream_cleaned", "parquet", lambda: readers.read_cleaned(spark, output, run_id)
     for name in schema.AGGREGATE_SCHEMAS:
         yield name, "parquet", lambda name=name: readers.read_aggregate(spark, output, name, run_id)
         yield name, "csv", lambda name=name: readers.read_report(spark, output, name, run_id)
+    yield "user_activity", "parquet", lambda: readers.read_user_activity(spark, output, run_id)
+    yield "run_summary", "parquet", lambda: readers.read_summary(spark, output, run_id)
+    yield "corrupt_records", "text", lambda: readers.read_corrupt(spark, output, run_id)
 
 
 def verify_outputs(spark: SparkSession, output: str, run_id: str) -> DataFrame:
-    """Per dataset and format: is it there, how many rows, how many columns."""
+    """Per dataset and format: is it there, how many rows, how many columns.
+
+    ``corrupt_records`` is there only for a run with quarantine.
+    """
 
     def inventory(dataset: str, fmt: str, read) -> DataFrame:
         labels = [F.lit(dataset).alias("dataset"), F.lit(fmt).alias("format")]
@@ -40,22 +46,26 @@ def verify_outputs(spark: SparkSession, output: str, run_id: str) -> DataFrame:
         )
 
     return reduce(
-        DataFrame.unionAll, (inventory(*entry) for entry in _datasets(spark, output, run_id))
+        DataFrame.unionAll, (inventory(*entry) for entry in datasets(spark, output, run_id))
     )
 
 
 def reconcile_outputs(spark: SparkSession, output: str, run_id: str) -> DataFrame:
     """Counts that must agree: (check, expected, actual, ok).
 
-    Every cleaned event is counted once by day, by region and hour and by device, and
-    each report has the rows of its aggregate.
+    Every cleaned event is counted once by day, by region and hour, by device, by user
+    and in the summary; each report has the rows of its aggregate; and every row of the
+    input either fitted the schema or was set aside. A run from cleaned events alone has
+    no counts of an input, and that check is left out.
     """
     events = readers.read_cleaned(spark, output, run_id).agg(F.count("*").alias("expected"))
 
-    def aggregate(name: str, value: Column) -> DataFrame:
-        df = readers.read_aggregate(spark, output, name, run_id)
+    def sums(df: DataFrame, value: Column) -> DataFrame:
         return df.agg(F.coalesce(value, F.lit(0)).alias("n"))
 
+    def aggregate(name: str, value: Column) -> DataFrame:
+        return sums(readers.read_aggregate(spark, output, name, run_id), value)
+
     def compare(check: str, expected: DataFrame, actual: DataFrame) -> DataFrame:
         return spark.range(1).select(
             F.lit(check).alias("check"),
@@ -79,6 +89,18 @@ def reconcile_outputs(spark: SparkSession, output: str, run_id: str) -> DataFram
         )
         for name in schema.AGGREGATE_SCHEMAS
     ]
+    users = readers.read_user_activity(spark, output, run_id)
+    summary = readers.read_summary(spark, output, run_id)
+    checks += [
+        compare("events in user_activity", events, sums(users, F.sum("total_sessions"))),
+        compare("cleaned rows in run_summary", events, sums(summary, F.sum("cleaned_rows"))),
+    ]
+    if summary.where("raw_rows IS NOT NULL").count():
+        corrupt = readers.found(lambda: readers.read_corrupt(spark, output, run_id))
+        aside = F.lit(0) if corrupt is None else sums(corrupt, F.count("*")).scalar()
+        raw, valid = (sums(summary, F.sum(c)) for c in ("raw_rows", "valid_rows"))
+        both = spark.range(1).select((valid.scalar() + aside).alias("n"))
+        checks.append(compare("valid and corrupt rows of the input", raw, both))
     checks.append(
         compare(
             "last rank of top_users",

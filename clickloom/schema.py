@@ -36,87 +36,111 @@ DAILY_SAMPLE_ROWS = 3
 CORRUPT_COLUMN = "_corrupt_record"
 REPORT_DELIMITER = ";"
 
-# --- Row layouts -------------------------------------------------------------------
-
-_TEXT, _INT, _LONG, _DOUBLE, _DATE = (
-    T.StringType(),
-    T.IntegerType(),
-    T.LongType(),
-    T.DoubleType(),
-    T.DateType(),
-)
-
-
-def _layout(**columns: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+# --- Fixed values: row layouts ------------------------------------------------------
 
-
-RAW_SCHEMA = _layout(
-    user_id=_TEXT,
-    session_id=_TEXT,
-    action=_TEXT,
-    timestamp=_TEXT,
-    region=_TEXT,
-    device=_TEXT,
-    duration_sec=_INT,
-    product_id=_TEXT,
-    price=_DOUBLE,
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("action", T.StringType()),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("device", T.StringType()),
+        T.StructField("duration_sec", T.IntegerType()),
+        T.StructField("product_id", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+    ]
 )
 
 #: Cleaned rows in the order they come back from disk: the partition column is last.
 CLEANED_SCHEMA = T.StructType(
     [
-        *RAW_SCHEMA.fields,
-        *_layout(
-            event_timestamp=T.TimestampNTZType(),
-            event_hour=_INT,
-            event_dayofweek=_INT,
-            session_category=_TEXT,
-            price_category=_TEXT,
-            event_date=_DATE,
-        ).fields,
+        T.StructField("user_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("action", T.StringType()),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("device", T.StringType()),
+        T.StructField("duration_sec", T.IntegerType()),
+        T.StructField("product_id", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("event_timestamp", T.TimestampNTZType()),
+        T.StructField("event_hour", T.IntegerType()),
+        T.StructField("event_dayofweek", T.IntegerType()),
+        T.StructField("session_category", T.StringType()),
+        T.StructField("price_category", T.StringType()),
+        T.StructField("event_date", T.DateType()),
     ]
 )
 
 AGGREGATE_SCHEMAS = {
-    "activity_by_region_hour": _layout(
-        region=_TEXT,
-        event_date=_DATE,
-        event_hour=_INT,
-        total_events=_LONG,
-        unique_users=_LONG,
-        avg_duration=_DOUBLE,
-        total_revenue=_DOUBLE,
-        avg_price=_DOUBLE,
+    "activity_by_region_hour": T.StructType(
+        [
+            T.StructField("region", T.StringType()),
+            T.StructField("event_date", T.DateType()),
+            T.StructField("event_hour", T.IntegerType()),
+            T.StructField("total_events", T.LongType()),
+            T.StructField("unique_users", T.LongType()),
+            T.StructField("avg_duration", T.DoubleType()),
+            T.StructField("total_revenue", T.DoubleType()),
+            T.StructField("avg_price", T.DoubleType()),
+        ]
     ),
-    "device_statistics": _layout(
-        device=_TEXT,
-        session_category=_TEXT,
-        session_count=_LONG,
-        avg_duration=_DOUBLE,
-        unique_users=_LONG,
+    "device_statistics": T.StructType(
+        [
+            T.StructField("device", T.StringType()),
+            T.StructField("session_category", T.StringType()),
+            T.StructField("session_count", T.LongType()),
+            T.StructField("avg_duration", T.DoubleType()),
+            T.StructField("unique_users", T.LongType()),
+        ]
     ),
-    "top_users": _layout(
-        user_id=_TEXT,
-        region=_TEXT,
-        total_sessions=_LONG,
-        total_time=_LONG,
-        total_spent=_DOUBLE,
-        rank=_LONG,
+    "top_users": T.StructType(
+        [
+            T.StructField("user_id", T.StringType()),
+            T.StructField("region", T.StringType()),
+            T.StructField("total_sessions", T.LongType()),
+            T.StructField("total_time", T.LongType()),
+            T.StructField("total_spent", T.DoubleType()),
+            T.StructField("rank", T.LongType()),
+        ]
     ),
-    "daily_activity": _layout(
-        event_date=_DATE,
-        daily_events=_LONG,
-        daily_users=_LONG,
-        daily_revenue=_DOUBLE,
+    "daily_activity": T.StructType(
+        [
+            T.StructField("event_date", T.DateType()),
+            T.StructField("daily_events", T.LongType()),
+            T.StructField("daily_users", T.LongType()),
+            T.StructField("daily_revenue", T.DoubleType()),
+        ]
     ),
 }
 
-SUMMARY_SCHEMA = _layout(
-    cleaned_rows=_LONG,
-    column_count=_INT,
-    min_date=_DATE,
-    max_date=_DATE,
-    distinct_users=_LONG,
-    distinct_regions=_LONG,
+#: Facts per (user, region), from which a run takes its top users and its summary.
+USER_ACTIVITY_SCHEMA = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("total_sessions", T.LongType()),
+        T.StructField("total_time", T.LongType()),
+        T.StructField("total_spent", T.DoubleType()),
+        T.StructField("first_date", T.DateType()),
+        T.StructField("last_date", T.DateType()),
+        T.StructField("unsummed_prices", T.LongType()),
+    ]
+)
+
+#: One row per run. Input counts are NULL where only cleaned events were given.
+SUMMARY_SCHEMA = T.StructType(
+    [
+        T.StructField("raw_rows", T.LongType()),
+        T.StructField("valid_rows", T.LongType()),
+        T.StructField("corrupt_rows", T.LongType()),
+        T.StructField("cleaned_rows", T.LongType()),
+        T.StructField("column_count", T.IntegerType()),
+        T.StructField("min_date", T.DateType()),
+        T.StructField("max_date", T.DateType()),
+        T.StructField("distinct_users", T.LongType()),
+        T.StructField("distinct_regions", T.LongType()),
+        T.StructField("unsummed_prices", T.LongType()),
+    ]
 )

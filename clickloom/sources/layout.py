@@ -4,7 +4,7 @@ Each dataset is one folder with a ``run_id=<id>`` partition per run, so a datase
 be read for one run, or for all of them with the run as a column::
 
     <output>/cleaned_data/clickstream_cleaned/run_id=<id>/event_date=<day>/
-    <output>/aggregated/<name>/run_id=<id>/
+    <output>/aggregated/<name>/run_id=<id>/            the aggregates and user_activity
     <output>/reports/<name>_report/run_id=<id>/
     <output>/corrupt_records/run_id=<id>/
     <output>/run_summary/run_id=<id>/

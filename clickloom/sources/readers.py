@@ -40,8 +40,9 @@ def split_corrupt(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The second frame has the one column ``_corrupt_record``. Parsing is an ordinary
     expression here, so whether a line is corrupt does not depend on which columns are
-    selected later, and nothing has to be cached to look at the corrupt ones. Header
-    and blank lines are skipped wherever they stand.
+    selected later, and nothing has to be cached to look at the corrupt ones. Blank
+    lines are skipped wherever they stand, and so are header lines in any case, quoted
+    or not, with blanks around the names or a byte order mark before them.
     """
     parsed = _parse_lines(lines)
     corrupt = F.col(schema.CORRUPT_COLUMN)
@@ -51,6 +52,15 @@ def split_corrupt(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def count_lines(lines: DataFrame) -> dict[str, int]:
+    """Number of lines with data, and of those that fit the schema."""
+    fits = F.col(schema.CORRUPT_COLUMN).isNull()
+    counts = _parse_lines(lines).agg(
+        F.count("*").alias("raw_rows"), F.count_if(fits).alias("valid_rows")
+    )
+    return counts.first().asDict()
+
+
 def _parse_lines(lines: DataFrame) -> DataFrame:
     marked = T.StructType(
         [*schema.RAW_SCHEMA.fields, T.StructField(schema.CORRUPT_COLUMN, T.StringType())]
@@ -61,7 +71,9 @@ def _parse_lines(lines: DataFrame) -> DataFrame:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schema.CORRUPT_COLUMN},
     )
     texts = [f.name for f in schema.RAW_SCHEMA.fields if f.dataType == T.StringType()]
-    is_header = reduce(and_, (F.col(c).eqNullSafe(F.lit(c)) for c in texts))
+    is_header = reduce(
+        and_, (F.lower(F.trim(F.regexp_replace(c, "\ufeff", ""))).eqNullSafe(F.lit(c)) for c in texts)
+    )
     not_blank = F.col("value").rlike(r"[^\x00-\x20]")
     # inline() rather than "row.*": filters are not moved below a generator, so each
     # line is parsed once and not again for every column a later filter looks at.
@@ -81,6 +93,14 @@ def read_aggregate(
     return _read_parquet(spark, path, schema.AGGREGATE_SCHEMAS[name], run_id)
 
 
+def read_user_activity(
+    spark: SparkSession, output: str, run_id: str | None = None
+) -> DataFrame:
+    """Facts per user and region of one run, or of all runs with their ``run_id``."""
+    path = layout.aggregate_path(output, "user_activity")
+    return _read_parquet(spark, path, schema.USER_ACTIVITY_SCHEMA, run_id)
+
+
 def read_summary(spark: SparkSession, output: str, run_id: str | None = None) -> DataFrame:
     """The one-row summary of a run, or of all runs with their ``run_id``."""
     return _read_parquet(spark, layout.summary_path(output), schema.SUMMARY_SCHEMA, run_id)
@@ -89,12 +109,16 @@ def read_summary(spark: SparkSession, output: str, run_id: str | None = None) ->
 def read_report(
     spark: SparkSession, output: str, name: str, run_id: str, typed: bool = True
 ) -> DataFrame:
-    """A delimited report. Without ``typed`` every column is text, as in the file."""
+    """A delimited report. Without ``typed`` every column is text, as in the file.
+
+    A value may hold line breaks, so a file is read by one task.
+    """
     columns = schema.AGGREGATE_SCHEMAS[name]
     if not typed:
         columns = T.StructType([T.StructField(c, T.StringType()) for c in columns.names])
     path = layout.run_path(layout.report_path(output, name), run_id)
-    return spark.read.schema(columns).options(header=True, sep=schema.REPORT_DELIMITER).csv(path)
+    options = {"header": True, "sep": schema.REPORT_DELIMITER, "multiLine": True}
+    return spark.read.schema(columns).options(**options).csv(path)
 
 
 def read_corrupt(spark: SparkSession, output: str, run_id: str) -> DataFrame:
@@ -103,14 +127,13 @@ def read_corrupt(spark: SparkSession, output: str, run_id: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", schema.CORRUPT_COLUMN)
 
 
-def latest_run(dataset: DataFrame, runs: DataFrame | None = None) -> DataFrame:
-    """The rows of a dataset that belong to the greatest ``run_id``.
+def latest_run(dataset: DataFrame, runs: DataFrame) -> DataFrame:
+    """The rows of a dataset that belong to the greatest ``run_id`` of ``runs``.
 
-    The id is looked up in ``runs``, by default in the dataset itself. With
-    :func:`read_summary` it is that of the latest finished run, found without opening
-    the dataset; either way only that run's folder is read for the rows.
+    ``runs`` is what :func:`read_summary` gives: one row per finished run. Of the dataset
+    only the files of that run are read.
     """
-    newest = (dataset if runs is None else runs).agg(F.max("run_id")).scalar()
+    newest = runs.agg(F.max("run_id")).scalar()
     return dataset.where(F.col("run_id") == newest)
 
 

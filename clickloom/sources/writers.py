@@ -6,35 +6,43 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom import schema
 from clickloom.operators.metrics import report_order
 from clickloom.sources import layout
 from clickloom.sources.readers import read_aggregate
 
-#: A report with more rows than this is written as several ordered files.
-SINGLE_FILE_ROWS = 1_000_000
+#: Tasks, and so files, that the rows of one day are dealt to at most.
+DAY_BUCKETS = 8
 
 
-def write_cleaned(cleaned: DataFrame, output: str, run_id: str) -> None:
+def write_cleaned(
+    cleaned: DataFrame, output: str, run_id: str, day_buckets: int = DAY_BUCKETS
+) -> None:
     """Cleaned events as Parquet, one folder per event_date.
 
     After deduplication every task holds rows of every day and would open a file for
-    each. Rebalancing by day first keeps the number of files near the data size, and
-    adaptive execution splits a day that outgrows the advisory partition size over as
-    many tasks as it needs, so a day is never tied to one task. Where adaptive execution
-    is off nothing would split it, so the rows are written from where they are.
+    each. Rows are dealt by day and, within a day, by a hash of the event's key into
+    ``day_buckets``: a day has at most that many files, and however large it is, that
+    many tasks write it. Choose it so that a bucket of the largest day fits a task.
     """
-    if cleaned.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true":
-        cleaned = cleaned.hint("rebalance", "event_date")
+    bucket = F.pmod(F.xxhash64(*schema.DEDUPE_KEYS), F.lit(day_buckets))
     (
-        cleaned.write.mode("overwrite")
+        cleaned.repartition("event_date", bucket)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")  # no days left over from an attempt
         .partitionBy("event_date")
         .parquet(layout.run_path(layout.cleaned_path(output), run_id))
     )
 
 
+def write_user_activity(users: DataFrame, output: str, run_id: str) -> None:
+    """Facts per user and region as Parquet."""
+    path = layout.run_path(layout.aggregate_path(output, "user_activity"), run_id)
+    users.write.mode("overwrite").parquet(path)
+
+
 def write_aggregate(df: DataFrame, output: str, name: str, run_id: str) -> None:
     """One aggregate as Parquet."""
     path = layout.run_path(layout.aggregate_path(output, name), run_id)
@@ -42,23 +50,16 @@ def write_aggregate(df: DataFrame, output: str, name: str, run_id: str) -> None:
 
 
 def write_report(
-    df: DataFrame,
-    output: str,
-    name: str,
-    run_id: str,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    df: DataFrame, output: str, name: str, run_id: str, single_file: bool = False
 ) -> None:
     """One aggregate as delimited text with a header, in report order.
 
-    ``df`` is expected to be a written aggregate, whose row count Spark takes from the
-    file footers. Up to ``single_file_rows`` rows make one file, sorted in one task;
-    more are range-partitioned into several files which are ordered in sequence.
+    Range-partitioned, so several files are ordered in sequence; adaptive execution
+    merges small ones. ``single_file`` asks for exactly one, written by one task.
     """
-    order = report_order(name)
-    if df.count() <= single_file_rows:
-        ordered = df.coalesce(1).sortWithinPartitions(*order)
-    else:
-        ordered = df.orderBy(*order)
+    ordered = df.orderBy(*report_order(name))
+    if single_file:
+        ordered = ordered.coalesce(1)
     (
         ordered.write.mode("overwrite")
         .options(
@@ -96,13 +97,13 @@ def write_reports(
     output: str,
     run_id: str,
     names=tuple(schema.AGGREGATE_SCHEMAS),
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    single_file: bool = False,
 ) -> None:
     """Reports of the written aggregates, so both copies agree and none is recomputed."""
 
     def write(name: str) -> None:
         written = read_aggregate(spark, output, name, run_id)
-        write_report(written, output, name, run_id, single_file_rows)
+        write_report(written, output, name, run_id, single_file)
 
     _side_by_side(spark, write, names)
 

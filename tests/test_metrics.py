@@ -22,7 +22,7 @@ def test_measures_count_every_event_once(cleaned):
     ]:
         assert results[name].agg(F.sum(measure)).first()[0] == n
     assert metrics.user_activity(cleaned).agg(F.sum("total_sessions")).first()[0] == n
-    assert quality.run_summary(cleaned).first().cleaned_rows == n
+    assert quality.run_summary(metrics.user_activity(cleaned)).first().cleaned_rows == n
 
 
 def test_double_money_is_close_to_exact_money(cleaned):
@@ -45,9 +45,9 @@ def test_double_money_is_close_to_exact_money(cleaned):
 
 
 def test_exact_results_do_not_depend_on_partitioning(raw, cleaned):
-    wanted = {n: rows(df) for n, df in metrics.analyze(cleaned, exact_money=True).items()}
+    wanted = {n: rows(df) for n, df in metrics.analyze(cleaned).items()}
     again = cleaned_events(raw.orderBy(F.rand(7)).repartition(13))
-    for name, df in metrics.analyze(again, exact_money=True).items():
+    for name, df in metrics.analyze(again).items():
         assert rows(df) == wanted[name]
 
 
@@ -95,7 +95,7 @@ def test_metrics_against_brute_force(spark, events):
     def seconds(rs):
         return sum(r["duration_sec"] for r in rs)
 
-    results = metrics.analyze(cleaned, exact_money=True)
+    results = metrics.analyze(cleaned)
     assert {tuple(r) for r in results["activity_by_region_hour"].collect()} == {
         (*k, len(rs), users(rs), seconds(rs) / len(rs), spent(rs), spent(rs) / len(rs))
         for k, rs in groups["hour"].items()
@@ -154,7 +154,7 @@ def test_plans(cleaned):
 
 
 def test_summary_counts_pairs_before_copying_rows_per_distinct_column(cleaned):
-    text = plan(quality.run_summary(cleaned))
+    text = plan(quality.run_summary(metrics.user_activity(cleaned)))
     assert text.index("Expand") < text.index("partial_min(event_date")
 
 
@@ -186,4 +186,18 @@ def test_profile_counts(spark):
         "blank_user_ids": 2,
         "negative_durations": 1,
         "nan_prices": 1,
+        "unsummed_prices": 1,
     }
+
+
+def test_money_leaves_nothing_out_in_silence(spark):
+    prices = [1e17, 2.0, float("inf"), 0.004, 0.004, float("nan"), 1e18, None]
+    events = [event(session_id=str(i), price=p) for i, p in enumerate(prices)]
+    cleaned = cleaned_events(raw_frame(spark, *events))
+    day = metrics.daily_activity(cleaned).first()
+    exact = Decimal(10**17) + Decimal("2.008")
+    assert day.daily_events == 7 and day.daily_revenue == float(exact)
+    hour = metrics.activity_by_region_hour(cleaned).first()
+    assert hour.avg_price == float(exact) / 4
+    assert quality.run_summary(metrics.user_activity(cleaned)).first().unsummed_prices == 3
+    assert quality.raw_profile(raw_frame(spark, *events)).first().unsummed_prices == 3

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from clickloom.fixtures.oracle import oracle_sql
+from clickloom.fixtures.queries import queries
 from conftest import TESTDATA
 from helpers import in_order, rows
 
@@ -18,7 +20,7 @@ SQL_TYPES = {
     "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP",
 }
-NAMES = sorted(contract.queries())
+NAMES = sorted(queries())
 
 
 def expected(sql: str, sf_dir: str):
@@ -31,7 +33,9 @@ def expected(sql: str, sf_dir: str):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(contract.queries())
+    assert set(oracle_sql()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -13,7 +13,9 @@ from clickloom.operators import metrics, quality
 from clickloom.operators.cleaning import cleaned_events
 from clickloom.plans import batch, verify
 from clickloom.sources import readers, writers
-from helpers import rows
+from clickloom.fixtures.queries import RUN, written_rows
+from clickloom.sources.scratch import SETTING, scratch_folder
+from helpers import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -26,17 +28,20 @@ def csv_path(spark, small, tmp_path_factory):
 @pytest.fixture(scope="module")
 def output(spark, csv_path, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("output"))
-    assert batch.run(spark, csv_path, out, "r1", exact_money=True) == "r1"
+    assert batch.run(spark, csv_path, out, "r1") == "r1"
     return out
 
 
 def test_run_writes_what_the_operators_compute(spark, csv_path, output):
     cleaned = cleaned_events(readers.read_clickstream(spark, csv_path))
     assert rows(readers.read_cleaned(spark, output, "r1")) == rows(cleaned)
-    for name, df in metrics.analyze(cleaned, exact_money=True).items():
+    for name, df in metrics.analyze(cleaned).items():
         assert rows(readers.read_aggregate(spark, output, name, "r1")) == rows(df)
         assert rows(readers.read_report(spark, output, name, "r1")) == rows(df)
-    assert rows(readers.read_summary(spark, output, "r1")) == rows(quality.run_summary(cleaned))
+    users = metrics.user_activity(cleaned)
+    assert rows(readers.read_user_activity(spark, output, "r1")) == rows(users)
+    summary = quality.run_summary(users, 1040, 1040, 0)
+    assert rows(readers.read_summary(spark, output, "r1")) == rows(summary)
 
 
 def test_the_input_is_read_once(spark, csv_path, tmp_path, monkeypatch):
@@ -55,9 +60,10 @@ def test_the_input_is_read_once(spark, csv_path, tmp_path, monkeypatch):
 
 
 def test_run_reconciles(spark, output):
-    assert [r.ok for r in verify.reconcile_outputs(spark, output, "r1").collect()] == [True] * 8
+    assert [r.ok for r in verify.reconcile_outputs(spark, output, "r1").collect()] == [True] * 11
     inventory = verify.verify_outputs(spark, output, "r1").collect()
-    assert len(inventory) == 9 and all(r.found for r in inventory)
+    assert [r.dataset for r in inventory if not r.found] == ["corrupt_records"]
+    assert len(inventory) == 12
     assert inventory[0]["columns"] == len(schema.CLEANED_SCHEMA)
 
 
@@ -65,7 +71,7 @@ def test_missing_outputs_are_listed_as_missing(spark, cleaned, tmp_path):
     writers.write_cleaned(cleaned, str(tmp_path), "r1")
     inventory = verify.verify_outputs(spark, str(tmp_path), "r1").collect()
     assert [r.dataset for r in inventory if r.found] == ["clickstream_cleaned"]
-    assert [r["rows"] for r in inventory if not r.found] == [None] * 8
+    assert [r["rows"] for r in inventory if not r.found] == [None] * 11
 
 
 def test_disagreeing_outputs_fail_the_check(spark, csv_path, output, tmp_path):
@@ -152,11 +158,53 @@ def test_command_line_with_quarantine(spark, small, tmp_path, capsys):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     fixture.clickstream_lines(spark, small).write.text(source)
     arguments = ["--input", source, "--output", out, "--run-id", "r1", "--quarantine"]
-    assert cli.main(["run", *arguments, "--exact-money"]) == 0
+    assert cli.main(["run", *arguments, "--double-money", "--single-file"]) == 0
     assert "malformed lines: 75" in capsys.readouterr().out
 
 
-def test_scratch_folder_is_under_the_shared_one(spark):
+def test_scratch_folder_is_under_the_shared_one(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = fixture.scratch_folder(spark), fixture.scratch_folder(spark)
+    first, second = scratch_folder(spark), scratch_folder(spark)
     assert first.startswith(shared) and first != second
+    spark.conf.set(SETTING, str(tmp_path))
+    try:
+        assert scratch_folder(spark).startswith(str(tmp_path))
+    finally:
+        spark.conf.unset(SETTING)
+
+
+def test_input_is_accounted_for(spark, small, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    fixture.clickstream_lines(spark, small).write.text(source)
+    batch.run(spark, source, out, "r1", quarantine=True)
+    summary = readers.read_summary(spark, out, "r1").first()
+    assert (summary.raw_rows, summary.valid_rows, summary.corrupt_rows) == (1040, 965, 75)
+    assert all(r.ok for r in verify.reconcile_outputs(spark, out, "r1").collect())
+    writers.write_corrupt(readers.read_corrupt(spark, out, "r1").limit(70), out, "r1")
+    failed = verify.reconcile_outputs(spark, out, "r1").where("NOT ok").collect()
+    assert [r.check for r in failed] == ["valid and corrupt rows of the input"]
+
+
+def test_line_breaks_in_values_reconcile(spark, cleaned, tmp_path):
+    odd = cleaned.withColumn("region", F.lit("X\nY"))
+    batch.load(odd, metrics.analyze, str(tmp_path), "r1")
+    assert all(r.ok for r in verify.reconcile_outputs(spark, str(tmp_path), "r1").collect())
+
+
+def test_a_run_scans_the_cleaned_table_once_for_users_and_summary(spark, cleaned, tmp_path):
+    writers.write_user_activity(metrics.user_activity(cleaned), str(tmp_path), "r1")
+    users = readers.read_user_activity(spark, str(tmp_path), "r1")
+    for df in (metrics.analyze(cleaned, users)["top_users"], quality.run_summary(users)):
+        assert plan(df).count("Scan parquet") == 1 and "price" not in plan(df).split("Scan parquet")[1].replace("unsummed_prices", "")
+
+
+@pytest.mark.parametrize("broken", ["daily_activity", "device_statistics", "top_users", "activity_by_region_hour"])
+def test_a_broken_output_shows_in_the_written_rows(spark, cleaned, tmp_path, broken):
+    out = str(tmp_path)
+    batch.load(cleaned, metrics.analyze, out, RUN)
+    before = rows(written_rows(spark, out))
+    short = spark.createDataFrame(
+        readers.read_aggregate(spark, out, broken, RUN).limit(2).collect(), schema.AGGREGATE_SCHEMAS[broken]
+    )
+    writers.write_aggregate(short, out, broken, RUN)
+    assert rows(written_rows(spark, out)) != before
