@@ -316,7 +316,8 @@ def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
         )
     )
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))
-    texts = docs.join(chosen.select("first", "key", "id"), same)
+    # chosen classes grow with the documents, so their number must not decide the plan
+    texts = docs.join(chosen.select("first", "key", "id").hint("merge"), same)
     sets = work.save(
         texts.select("id", "key", "text").mapInArrow(lambda b: _with_shingles(b, words), "id long, shingles binary"),
         "shingles",
