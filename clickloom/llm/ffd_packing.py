@@ -54,12 +54,12 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple
 
 
 def _pieces(batches, tokenizer: str, capacity: int, end_id: int):
-    encode, end = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
+    encode_all, end = encoder(tokenizer).encode_all, np.uint32(end_id).tobytes()
     step = 4 * capacity
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = encode(text or "") + end
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encode_all(batch.column(1))):
+            ids += end
             total = len(ids) // 4
             for at in range(0, len(ids), step):
                 piece = ids[at : at + step]

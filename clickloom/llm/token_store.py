@@ -74,7 +74,7 @@ def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _write(batches, content: bytes, tokenizer: str, end_id: int):
     """Blocks from rows of (slice, doc_id, text) in order."""
-    encode, end = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
+    encode_all, end = encoder(tokenizer).encode_all, np.uint32(end_id).tobytes()
     compress = zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(content)).compress
     digest = hashlib.sha256(content).hexdigest()
     at, block, doc_ids, counts, frames, size = None, 0, [], [], [], 0
@@ -90,12 +90,13 @@ def _write(batches, content: bytes, tokenizer: str, end_id: int):
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     for batch in batches:
-        for part, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+        columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        for part, doc_id, ids in zip(*columns, encode_all(batch.column(2))):
             if frames and (part != at or size >= BLOCK_BYTES):
                 yield flush()
             if part != at:
                 at, block = part, 0
-            ids = encode(text or "") + end
+            ids += end
             doc_ids.append(doc_id)
             counts.append(len(ids) // 4)
             frames.append(compress(ids))

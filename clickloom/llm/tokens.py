@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words an encoder remembers, about 250 bytes each.
 REMEMBERED = 1_000_000
+#: Bytes of text whose different words are looked up together.
+PORTION = 8 * 1024 * 1024
 
 
 class Encoder:
@@ -28,6 +33,7 @@ class Encoder:
         self.words = _Words(self._whole, self._letters)
         self.model = self.tokenizer.model
         self.space = " " if self._whole(" a") != self._whole("a") else ""
+        self.breaks = len(self._whole("\n")) // 4
         self.lower = self._whole("A") == self._whole("a")
 
     def _whole(self, text: str) -> bytes:
@@ -41,12 +47,41 @@ class Encoder:
         return array("I", [token.id for token in self.model.tokenize(known)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _ODD_SPACE.search(text):
-            return self._whole(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return (self._whole(first) if first else b"") + b"".join(map(self.words.__getitem__, rest))
+        return next(self.encode_all(pa.array([text])))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of every text, null as empty; about PORTION bytes of text at once."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + PORTION, "right")))
+            yield from self._portion(texts.slice(at, end - at))
+            at = end
+
+    def _portion(self, texts: pa.Array) -> Iterator[bytes]:
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)
+        # a line break in front makes the first word like any other
+        spaced = pc.replace_substring(plain, "\n", " \n")
+        front, nothing = (pa.scalar(x, pa.large_string()) for x in ("\n", ""))
+        pieces = pc.split_pattern(pc.binary_join_element_wise(front, spaced, nothing), " ")
+        words = pieces.flatten().dictionary_encode()
+        known = list(map(self.words.__getitem__, words.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), "<u4")
+        index = words.indices.to_numpy()
+        counts = sizes[index]
+        ends = np.cumsum(counts)
+        first = (np.cumsum(sizes) - sizes)[index] - (ends - counts)
+        found = ids[np.repeat(first, counts) + np.arange(ends[-1])]
+        borders = np.concatenate([[0], ends])[pieces.offsets.to_numpy()]
+        for i in range(len(texts)):
+            if odd[i]:
+                yield self._whole(texts[i].as_py())
+            else:
+                yield found[borders[i] + self.breaks : borders[i + 1]].tobytes()
 
 
 def _alphabet() -> dict[int, int]:
@@ -64,7 +99,9 @@ _ALPHABET = _alphabet()
 #: Letters below this one are the same in all versions of Unicode.
 _LATIN_END = "\u0250"
 #: White space but for blanks and line breaks, or two in a row.
-_ODD_SPACE = re.compile(r"[^\S \n]|\s\s")
+_ODD_SPACE = (
+    r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]"
+)
 
 
 def _letters_only(word: str) -> bool:
@@ -84,10 +121,11 @@ class _Words(dict):
         self.signs = {sign: encode(sign) for sign in _SIGNS}
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in _SIGNS and _letters_only(word[:-1]):
-            return self[word[:-1]] + self.signs[word[-1]]
-        if _letters_only(word) and max(word) < _LATIN_END:
-            ids = self.letters(word)
+        if word.isalpha():
+            plain = word.isascii() or (max(word) < _LATIN_END and word.lower().isalpha())
+            ids = self.letters(word) if plain else self.encode(" " + word)
+        elif word[-1:] in self.signs and _letters_only(word[:-1]):
+            ids = self[word[:-1]] + self.signs[word[-1]]
         else:
             ids = self.encode(word if word[:1] == "\n" else " " + word)
         if len(self) < REMEMBERED:
