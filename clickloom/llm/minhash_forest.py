@@ -407,3 +407,26 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = r"""
+WITH RECURSIVE
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '\S+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS run
+  FROM d),
+n AS (SELECT r, count(*) AS runs FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS shared FROM s a JOIN s b ON a.run = b.run AND a.r < b.r GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b
+  WHERE 10 * shared >= 8 * (x.runs + y.runs - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT r, r AS root FROM d UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.r),
+k AS (SELECT c.r, min(d.doc_id) AS class_id FROM c JOIN d ON d.r = c.root GROUP BY c.r),
+m AS (SELECT a AS r, count(*) AS n_links FROM e GROUP BY a)
+SELECT d.doc_id, k.class_id, coalesce(m.n_links, 0)::BIGINT AS n_links
+FROM d JOIN k USING (r) LEFT JOIN m USING (r)
+"""

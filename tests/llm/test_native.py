@@ -1,4 +1,4 @@
-"""Chat prefix expansion and fair mixing."""
+"""Chat prefix expansion, fair mixing, and all queries that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from clickloom.llm import chat_prefix, fair_mixing
+from clickloom.llm import chat_prefix, fair_mixing, minhash_forest
 
 TURNS = "conv_id long, turn long, role string, text string"
 
@@ -17,7 +17,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("module, table", [(chat_prefix, "conversations"), (fair_mixing, "documents")])
+@pytest.mark.parametrize("module, table", [(chat_prefix, "conversations"), (fair_mixing, "documents"), (minhash_forest, "documents")])
 def test_equals_sql(spark, small, module, table):
     df = module.query(spark, small)
     con = duckdb.connect()

@@ -42,4 +42,8 @@ def test_run_and_registration(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 0
     names = set(contract.queries())
     assert {"pipeline", *registry.OPERATORS} <= names and len(registry.OPERATORS) == 10
-    assert set(registry.oracle_sql()) == {"op1_chat_prefix", "op10_fair_mixing"}
+    assert set(registry.oracle_sql()) == {
+        "op1_chat_prefix",
+        "op3_minhash_forest",
+        "op10_fair_mixing",
+    }
