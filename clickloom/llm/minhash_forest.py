@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.batches import portions
 from clickloom.llm.components import components
 from clickloom.llm.workspace import Workspace
 
@@ -91,7 +92,7 @@ def class_key(found: np.ndarray) -> bytes:
 
 
 def _sketch(batches, words: int, length: int):
-    for batch in batches:
+    for batch in portions(batches):
         keys, sizes, nodes, signs = [], [], [], []
         for text in batch.column("text").to_pylist():
             found = shingles(text, words)
@@ -211,7 +212,7 @@ def _candidate_edges(classes: DataFrame, work: Workspace) -> DataFrame:
 
 def _with_shingles(batches, words: int):
     """Replace the text of a row by its shingles, where it is the text of its class."""
-    for batch in batches:
+    for batch in portions(batches):
         found = [shingles(text, words) for text in batch.column("text").to_pylist()]
         own = [
             class_key(s) == key if len(s) else False for s, key in zip(found, batch.column("key").to_pylist())
@@ -395,14 +396,18 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     of = F.coalesce(F.col("label").cast("string"), F.concat_ws("/", F.lit("none"), "doc_id", "at"))
     chosen = sketch.join(per_class, "key", "left").groupBy(of.alias("of"))
     chosen = chosen.agg(F.min(F.struct("doc_id", "at")).alias("first"))
-    chosen = chosen.select(F.col("first.doc_id").alias("kept_id"), F.col("first.at").alias("kept_at"))
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.col("doc_id").cast("long").alias("id"),
-        F.xxhash64("text").alias("at"),
-    )
-    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("at") == F.col("kept_at"))
-    return rows.join(chosen, same, "left_semi").dropDuplicates(["id", "at"]).select("row.*")
+    # keys without null, so that the texts are dealt once for both the join and the copies
+    keys = ["id", "missing", "at"]
+    named = lambda doc_id, at: [
+        F.coalesce(doc_id, F.lit(0)).cast("long").alias("id"),
+        doc_id.isNull().alias("missing"),
+        at.alias("at"),
+    ]
+    chosen = chosen.select(*named(F.col("first.doc_id"), F.col("first.at")))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, *named(F.col("doc_id"), F.xxhash64("text")))
+    kept = rows.join(chosen.hint("merge"), keys, "left_semi")
+    return kept.dropDuplicates(keys).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
