@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clickloom.llm import byte_gru
+from clickloom.llm.batches import portions
 from clickloom.llm.workspace import ship_package
 
 UNKNOWN = "und"
@@ -35,7 +36,7 @@ def fold_of(doc_id: Column) -> Column:
 
 def _sampled(batches):
     """Chunks at even distances over each whole text."""
-    for batch in batches:
+    for batch in portions(batches):
         chunks, langs = [], []
         for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
             data = text.lower().encode("utf-8", "surrogatepass")
@@ -120,7 +121,7 @@ def _label(texts: list[str | None], langs: list[str], model) -> list[tuple[str,
     return found
 
 
-def _in_portions(texts: list[str | None], limit: int = 4_000_000):
+def _in_portions(texts: list[str | None], limit: int = 1_000_000):
     """Consecutive texts of about ``limit`` code points at once."""
     portion, size = [], 0
     for text in texts:
@@ -134,7 +135,7 @@ def _in_portions(texts: list[str | None], limit: int = 4_000_000):
 
 
 def _predict(batches, langs, model):
-    for batch in batches:
+    for batch in portions(batches):
         texts = batch.column(1).to_pylist()
         found = [row for portion in _in_portions(texts) for row in _label(portion, langs, model)]
         names, scores, shares = zip(*found) if found else ((), (), ())
@@ -157,7 +158,7 @@ def predict(docs: DataFrame, langs: list[str], model) -> DataFrame:
 
 
 def _kept(batches, langs, model, place, least):
-    for batch in batches:
+    for batch in portions(batches):
         texts = batch.column(place).to_pylist()
         found = [row for portion in _in_portions(texts) for row in _label(portion, langs, model)]
         yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score, _ in found], pa.bool_()))

@@ -13,9 +13,9 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words an encoder remembers, about 250 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Bytes of text whose different words are looked up together.
-PORTION = 8 * 1024 * 1024
+PORTION = 4 * 1024 * 1024
 
 
 class Encoder:
