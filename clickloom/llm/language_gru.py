@@ -139,9 +139,9 @@ def _predict(batches, langs, model):
         texts = batch.column(1).to_pylist()
         found = [row for portion in _in_portions(texts) for row in _label(portion, langs, model)]
         names, scores, shares = zip(*found) if found else ((), (), ())
+        found = [pa.array(names, pa.string()), *(pa.array(x, pa.float64()) for x in (scores, shares))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64())],
-            names=["doc_id", "lang_pred", "score", "agreement"],
+            [batch.column(0), *found], names=["doc_id", "lang_pred", "score", "agreement"]
         )
 
 

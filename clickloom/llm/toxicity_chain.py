@@ -1,9 +1,9 @@
 """Toxicity by a classifier chain over labelled categories.
 
 Categories are predicted one after another by logistic models over the words a text has,
-the word beginnings it has often, and a few measures of its form. A later model also gets the probabilities of the earlier
-categories; in training these come from models that have not seen the document (out of
-fold), so it learns to use predictions, not labels.
+the word beginnings it has often, and a few measures of its form. A later model also gets
+the probabilities of the earlier categories; in training these come from models that have
+not seen the document (out of fold), so it learns to use predictions, not labels.
 """
 
 from __future__ import annotations

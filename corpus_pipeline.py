@@ -13,7 +13,7 @@ from clickloom.llm import fair_mixing, ffd_packing, language_gru, minhash_forest
 from clickloom.llm.workspace import Workspace
 
 #: Pooled probability below which a document's language is not believed.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 
 import duckdb
 import pytest

@@ -21,7 +21,7 @@ def test_stages(spark, small):
         given = sorted(r.doc_id for r in before.select("doc_id").collect())
         if name == "language_id":
             rows = language_gru.predict(before, *language_gru.fit(before)).collect()
-            assert ids == sorted(r.doc_id for r in rows if r.lang_pred != "und" and r.score >= 0.5)
+            assert ids == sorted(r.doc_id for r in rows if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_LANGUAGE_SCORE)
             assert len(ids) > 0.95 * len(given)
         elif name == "toxicity":
             labels = spark.read.parquet(f"{small}/labels.parquet")
