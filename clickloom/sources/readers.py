@@ -71,9 +71,9 @@ def _parse_lines(lines: DataFrame) -> DataFrame:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schema.CORRUPT_COLUMN},
     )
     texts = [f.name for f in schema.RAW_SCHEMA.fields if f.dataType == T.StringType()]
-    is_header = reduce(
-        and_, (F.lower(F.trim(F.regexp_replace(c, "\ufeff", ""))).eqNullSafe(F.lit(c)) for c in texts)
-    )
+    # from the last column on: the first test that fails ends it, and ids are the first
+    named = (F.lower(F.trim(F.translate(c, "\ufeff", ""))).eqNullSafe(F.lit(c)) for c in texts[::-1])
+    is_header = reduce(and_, named)
     not_blank = F.col("value").rlike(r"[^\x00-\x20]")
     # inline() rather than "row.*": filters are not moved below a generator, so each
     # line is parsed once and not again for every column a later filter looks at.

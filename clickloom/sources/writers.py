@@ -14,7 +14,7 @@ from clickloom.sources import layout
 from clickloom.sources.readers import read_aggregate
 
 #: Tasks, and so files, that the rows of one day are dealt to at most.
-DAY_BUCKETS = 8
+DAY_BUCKETS = 4
 
 
 def write_cleaned(

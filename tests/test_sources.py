@@ -192,7 +192,7 @@ def test_a_day_larger_than_a_partition_is_written_by_several_tasks(spark, tmp_pa
             spark.conf.set(key, value)
     back = readers.read_cleaned(spark, str(tmp_path), "r1")
     assert back.count() == n
-    assert 4 < back.select(F.input_file_name()).distinct().count() <= writers.DAY_BUCKETS
+    assert 1 < back.select(F.input_file_name()).distinct().count() <= writers.DAY_BUCKETS
 
 
 def test_reports_equal_aggregates(spark, cleaned, tmp_path):
