@@ -16,6 +16,7 @@ linked sets differ by a bounded factor, so a large group is compared by bands of
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,8 @@ SIMILARITY = 0.8
 TREES, LABEL = 20, 6
 #: Chance that a pair at the least similarity meets in a node of some trie.
 RECALL = 0.9999
-#: Signatures that agree in a smaller share are not compared further; the share of a
-#: pair at the least similarity is that low with a probability of about one in a million.
-ESTIMATE = 0.62
+#: Chance that the signatures of a pair at the least similarity agree in too few values.
+MISS = 1e-6
 #: Classes of a block.
 BLOCK = 512
 
@@ -45,10 +45,20 @@ _ODD = np.random.default_rng(5).integers(0, 2**63, TREES * LABEL, np.uint64) * n
 
 def prefix_length(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
     """Shorten the prefix from a whole label until the recall is reached."""
-    length = LABEL
-    while length > 1 and 1 - (1 - similarity**length) ** TREES < recall:
-        length -= 1
-    return length
+    for length in range(LABEL, 0, -1):
+        if 1 - (1 - similarity**length) ** TREES >= recall:
+            return length
+    raise ValueError(f"{TREES} trees do not reach a recall of {recall} at similarity {similarity}")
+
+
+def least_agreeing(similarity: float = SIMILARITY, miss: float = MISS) -> int:
+    """Values of a signature in which all but a share ``miss`` of pairs at the similarity agree."""
+    n, below = TREES * LABEL, 0.0
+    for agreeing in range(n + 1):
+        below += math.comb(n, agreeing) * similarity**agreeing * (1 - similarity) ** (n - agreeing)
+        if below > miss:
+            return agreeing
+    return n
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -155,7 +165,7 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int
     return [(i, find(i)) for i in range(n) if find(i) != i]
 
 
-def _likely(table_runs):
+def _likely(table_runs, least: int):
     """Spanning edges between classes of a node whose signatures may be similar."""
     for table in table_runs:
         if not table.num_rows:
@@ -170,7 +180,7 @@ def _likely(table_runs):
             left, right = [], []
             for i in range(b - a - 1):
                 rest = slice(i + 1, b - a)
-                agree = (group[rest] == group[i]).mean(axis=1) >= ESTIMATE
+                agree = (group[rest] == group[i]).sum(axis=1) >= least
                 if own[a] != other[a]:
                     agree &= side[rest] != side[i]
                 near = np.flatnonzero(agree) + i + 1
@@ -197,7 +207,7 @@ def _block_pairs(rows: DataFrame, group: str, count: str) -> DataFrame:
     )
 
 
-def _candidate_edges(classes: DataFrame, work: Workspace) -> DataFrame:
+def _candidate_edges(classes: DataFrame, work: Workspace, least: int) -> DataFrame:
     """Edges (a, b) that connect all classes which may be similar."""
     placed = classes.select("id", F.explode("nodes").alias("node"))
     crowded = placed.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
@@ -207,7 +217,7 @@ def _candidate_edges(classes: DataFrame, work: Workspace) -> DataFrame:
         "node", "pair", "own", "other", "id", "sign"
     )
     sorted_ = paired.repartition("node", "pair").sortWithinPartitions("node", "pair", "own", "id")
-    return sorted_.mapInArrow(lambda batches: _likely(_runs(batches, 2)), "a long, b long")
+    return sorted_.mapInArrow(lambda batches: _likely(_runs(batches, 2), least), "a long, b long")
 
 
 def _with_shingles(batches, words: int):
@@ -339,7 +349,7 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     """The sketch of every row, and (key, label, n_links) of every class of equal sets."""
     work = Workspace(docs.sparkSession, "forest")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    length = prefix_length(similarity)
+    length, least = prefix_length(similarity), least_agreeing(similarity)
     kind = "doc_id long, at long, key binary, size int, nodes array<long>, sign binary"
     hashed = rows.select("doc_id", "text", F.xxhash64("text").alias("at"))
     sketch = work.save(hashed.mapInArrow(lambda b: _sketch(b, words, length), kind), "sketch")
@@ -351,7 +361,7 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     classes = work.save(
         heads.join(one, "key").select(identity, "key", "copies", "first", "size", "nodes", "sign"), "classes"
     )
-    groups = work.save(components(work, _candidate_edges(classes, work), "candidate"), "groups")
+    groups = work.save(components(work, _candidate_edges(classes, work, least), "candidate"), "groups")
     verified = _verify(hashed, classes, groups, work, words, similarity)
     labels = work.save(components(work, verified.select("a", "b"), "linked"), "linked")
     links = verified.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
@@ -374,7 +384,7 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) ->
     words are one run of words; those without words (null, empty, blank) link to nothing.
     A null doc_id takes part; a class of such rows alone has a null class_id. Repeated
     rows are documents of their own; an empty table gives no rows; other columns are
-    ignored.
+    ignored. A similarity at which one value a tree misses RECALL (below 0.37) is an error.
     """
     sketch, per_class = _linked(docs, words, similarity)
     rows = sketch.select("doc_id", "key").join(per_class, "key", "left")

@@ -19,7 +19,7 @@ def runs(text):
     return frozenset(tuple(words[i : i + length]) for i in range(len(words) - length + 1)) if words else frozenset()
 
 
-def brute(rows):
+def brute(rows, similarity=0.8):
     """(doc_id, class_id, n_links) of every row, in order."""
     sets = [runs(text) for _, text in rows]
     where = defaultdict(list)
@@ -37,7 +37,7 @@ def brute(rows):
         return i
 
     for (a, b), n in both.items():
-        if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n) - 1e-9:
+        if n >= similarity * (len(sets[a]) + len(sets[b]) - n) - 1e-9:
             links[a] += 1
             links[b] += 1
             parent[max(find(a), find(b))] = min(find(a), find(b))
@@ -72,6 +72,35 @@ def test_join_of_a_group_of_near_copies(spark, monkeypatch):
     assert sorted(found) == sorted(brute(rows))
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.6])
+def test_join_of_less_similar_pairs(spark, similarity):
+    # pairs of 104 runs each that share just as many as the similarity asks
+    shared = {0.5: 70, 0.6: 78}[similarity]
+    rows = []
+    for i in range(40):
+        common = [f"c{i}v{j}" for j in range(shared + 4)]
+        for side in (0, 1):
+            own = [f"o{i}s{side}v{j}" for j in range(104 - shared)]
+            rows.append((2 * i + side, " ".join(common + own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows, similarity)
+    assert all(links == 1 for _, _, links in expected)
+    found = [tuple(r) for r in minhash_forest.join(docs, similarity=similarity).collect()]
+    assert sorted(found) == sorted(expected)
+    kept = minhash_forest.keep_one(docs, similarity=similarity).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 80, 2))
+
+
+def test_signatures_and_prefixes_follow_the_similarity():
+    n = minhash_forest.TREES * minhash_forest.LABEL
+    for similarity in (0.4, 0.5, 0.6, 0.8, 0.95):
+        least = minhash_forest.least_agreeing(similarity)
+        missed = sum(math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k) for k in range(least))
+        assert missed <= minhash_forest.MISS
+    with pytest.raises(ValueError):
+        minhash_forest.prefix_length(0.2)
+
+
 def test_join_of_odd_rows(odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     found = [tuple(r) for r in minhash_forest.join(odd).collect()]
