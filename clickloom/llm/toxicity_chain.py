@@ -36,15 +36,17 @@ _WORD = re.compile(r"\w+")
 
 #: Letters of a word's beginning, for languages that inflect and compound.
 STEMS = (4, 5)
-#: A beginning counts from one in so many words of the text.
+#: A beginning counts from one in so many words of the text or of some stretch of it.
 STEM_RARITY = 200
+#: Words of a stretch, wherever it starts.
+STRETCH = 800
 
 
 def marks_of(text: str, words=None, stems=None) -> tuple[set[str], int]:
     """What a text shows, and its number of different words.
 
     That is its words in lower case, and the beginnings of longer words that are frequent
-    in it: ``stem*`` from one occurrence and ``stem**`` from two. ``words`` and ``stems``
+    in it or in any stretch of it: ``stem*`` from one occurrence and ``stem**`` from two. ``words`` and ``stems``
     limit both, where given.
     """
     found = _WORD.findall(text.lower())
@@ -57,14 +59,31 @@ def marks_of(text: str, words=None, stems=None) -> tuple[set[str], int]:
             stem = word[:size]
             if (stems is None or stem in stems) and len(word) > size:
                 often[stem] = often.get(stem, 0) + n
+        dense = _dense_in_a_stretch(found, size, often)
         for stem, n in often.items():
-            if n >= least:
+            if n >= least or stem in dense:
                 marks.add(f"{stem}*")
                 if n > 1:
                     marks.add(f"{stem}**")
     return marks, len(counts)
 
 
+def _dense_in_a_stretch(found: list[str], size: int, often: dict[str, int]) -> set[str]:
+    """Beginnings frequent in some stretch of a text longer than that."""
+    least = STRETCH // STEM_RARITY
+    several = {stem for stem, n in often.items() if n >= least} if len(found) > STRETCH else set()
+    where: dict[str, list[int]] = {stem: [] for stem in several}
+    if several:
+        for place, word in enumerate(found):
+            if len(word) > size and word[:size] in several:
+                where[word[:size]].append(place)
+    return {
+        stem
+        for stem, places in where.items()
+        if any(last - first < STRETCH for first, last in zip(places, places[least - 1 :]))
+    }
+
+
 def form_of(text: str, words: int) -> list[float]:
     """Length, different words, and shares of capitals, digits and ASCII signs."""
     data = text.encode("utf-8", "surrogatepass")

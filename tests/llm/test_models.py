@@ -69,6 +69,21 @@ def test_toxicity_on_labelled_documents(spark):
     assert np.mean(toxic) > 0.9 and np.mean(clean) < 0.005
 
 
+def test_toxic_passage_in_a_long_clean_text(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    chain = toxicity_chain.fit(docs, labels)
+    rows = docs.join(labels, "doc_id").orderBy("doc_id").select("lang", "text", "toxic").collect()
+    for lang in ("en", "de", "fr", "es"):
+        passages = [r.text for r in rows if r.lang == lang and r.toxic and 300 < len(r.text.split()) < 700]
+        longer = (r.text for r in rows if r.lang == lang and not r.toxic and len(r.text.split()) > 300)
+        clean = next(text for text in longer if chain.score(text)[-1] < 0.01).split()
+        around = " ".join((clean * (10_000 // len(clean) + 1))[:10_000])
+        assert chain.score(f"{around} {around}")[-1] < 0.05
+        found = [chain.score(f"{around} {passage} {around}")[-1] for passage in passages[:8]]
+        assert np.mean(np.array(found) >= toxicity_chain.THRESHOLD) > 0.6
+
+
 def test_chain_learns_from_unseen_documents_only(spark):
     rng = np.random.default_rng(0)
     words = ["good", "bad", "vile"] + [f"w{i}" for i in range(30)]
