@@ -1,9 +1,10 @@
-"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: a MinHash LSH forest cut at one prefix length, then verification.
 
 1. Texts with equal sets of word shingles are one class; all else is done per class.
-2. A class has one label of MinHash values in each of several prefix tries. Starting from
-   whole labels, the matched prefix is shortened until a pair at the least similarity is
-   found with the target recall. Classes below one trie node are candidates.
+2. A class has one label of MinHash values in each of several prefix tries. The threshold
+   is fixed, so one prefix length serves all classes: the longest at which a pair at the
+   least similarity is found with the target recall. The forest is thereby reduced to LSH
+   banding; tries are not sorted or descended. Classes that share a prefix are candidates.
 3. Within a node, pairs that the whole signatures rule out are dropped. What remains is
    kept as spanning edges, not as pairs, and connected into candidate groups.
 4. In a group, every pair is verified on its whole shingle sets. Counts of links and
@@ -44,7 +45,7 @@ _ODD = np.random.default_rng(5).integers(0, 2**63, TREES * LABEL, np.uint64) * n
 
 
 def prefix_length(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
-    """Shorten the prefix from a whole label until the recall is reached."""
+    """The longest prefix of a label, one for all classes, that reaches the recall."""
     for length in range(LABEL, 0, -1):
         if 1 - (1 - similarity**length) ** TREES >= recall:
             return length
