@@ -1,6 +1,7 @@
 """Merkle trees over the paragraphs and sections of a text.
 
-Leaves are paragraphs: lines, and of long lines runs of sentences. A section is a run of
+Leaves are paragraphs: lines, and of long lines runs of sentences or of code points that
+end where the last few of them say so; an edit moves the borders near it only. A section is a run of
 paragraphs; where it ends depends on the text of its last paragraph alone, so an edit
 moves no other section's borders. A section's hash is over its leaves' hashes, the root
 over the sections'. A fingerprint is the whole tree as a string:
@@ -17,6 +18,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +26,37 @@ from pyspark.sql import functions as F
 from clickloom.llm.slices import bounds_of, in_slices, slice_of
 from clickloom.llm.workspace import ship_package
 
-#: Code points of a line above which it is cut, behind sentences where it has any.
-LONG_LINE = 64
+#: Code points of a line above which it is cut, behind sentences where it has any. All
+#: leaves of such a line but its last have from LEAST_PART to LONG_LINE code points.
+LONG_LINE, LEAST_PART = 64, 32
+#: Code points that decide whether a long line is cut behind them.
+REACH = 4
 #: Hexadecimal digits of a leaf or section in a fingerprint.
 DIGITS = 12
 #: A section ends behind a leaf whose hash has this remainder; eight leaves on average.
 SECTION_CYCLE = 8
-_SENTENCE = re.compile(r".+?(?:[.!?]+\s+|\Z)", re.DOTALL)
+_SENTENCE_END = re.compile(r"[.!?…؟۔।॥։።။]+\s+|[。．｡！？]+[」』”’）】]*\s*")
+_SENTENCE_BIT = np.uint64(1 << 63)
 
 
 def _hash(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+def _ranks(line: str) -> np.ndarray:
+    """How much the text speaks for a cut behind each code point; sentence ends come first."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ranks = codes.copy()
+    for back in range(1, REACH):
+        ranks[back:] += codes[:-back] * np.uint64(0x100000001B3**back % 2**64)
+    ranks *= np.uint64(0x9E3779B97F4A7C15)
+    ranks ^= ranks >> np.uint64(29)
+    ranks = ranks * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)
+    for end in _SENTENCE_END.finditer(line):
+        ranks[end.end() - 1] |= _SENTENCE_BIT
+    return ranks
+
+
 def paragraphs(text: str) -> list[str]:
     """The leaves; joined they are the text."""
     leaves = []
@@ -44,16 +64,14 @@ def paragraphs(text: str) -> list[str]:
         if len(line) <= LONG_LINE:
             leaves.append(line)
             continue
-        run = ""
-        for sentence in _SENTENCE.findall(line):
-            for at in range(0, len(sentence), LONG_LINE):
-                part = sentence[at : at + LONG_LINE]
-                if run and len(run) + len(part) > LONG_LINE:
-                    leaves.append(run)
-                    run = ""
-                run += part
-        if run:
-            leaves.append(run)
+        ranks, at = _ranks(line), 0
+        while len(line) - at > LONG_LINE:
+            # the last of equal ranks, so that leaves of a repeated character are long
+            behind = ranks[at + LEAST_PART - 1 : at + LONG_LINE][::-1].argmax()
+            cut = at + LONG_LINE - int(behind)
+            leaves.append(line[at:cut])
+            at = cut
+        leaves.append(line[at:])
     return leaves
 
 

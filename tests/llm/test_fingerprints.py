@@ -6,6 +6,7 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from clickloom.llm import merkle, vector_sharding
@@ -52,6 +53,22 @@ def test_tree_locates_edits():
     assert "".join(merkle.paragraphs(text)) == text
 
 
+def test_edits_of_long_lines_move_few_leaves():
+    draw = np.random.default_rng(2)
+    chinese = "".join(map(chr, draw.integers(0x4E00, 0x9FA0, 6000)))
+    stops = "。".join(chinese[at : at + 23] for at in range(0, 6000, 23))
+    log = " ".join(f"{n:x}=[{n % 97}]" for n in draw.integers(0, 2**40, 400))
+    code = "".join(f"f{n}(x{n % 7});" for n in draw.integers(0, 10**6, 500))
+    for text in (chinese, stops, log, code, "x" * 6000):
+        assert "".join(merkle.paragraphs(text)) == text
+        assert max(map(len, merkle.paragraphs(text))) <= merkle.LONG_LINE
+        for at in (0, 1000, 3000):
+            changed = text[:at] + "y" + text[at:]
+            a, b = merkle.fingerprint(text), merkle.fingerprint(changed)
+            assert merkle.likeness(a, b) > 0.9
+            assert len(merkle.edits(a, b)) <= 8
+
+
 @pytest.mark.parametrize("which", ["documents", "odd"])
 def test_shards(which, request):
     docs = request.getfixturevalue(which)
