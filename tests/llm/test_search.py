@@ -156,6 +156,25 @@ def test_search_recall(spark, folder):
     assert hits >= 0.9 * sum(map(len, truth.values()))
 
 
+def test_search_recall_with_all_parts(spark, monkeypatch):
+    draw = np.random.default_rng(11)
+    vectors = draw.standard_normal((10_000, 64)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    routers, fit = [], neighbour_router.fit
+    monkeypatch.setattr(neighbour_router, "fit", lambda *given: routers.append(fit(*given)) or routers[-1])
+    rows = list(enumerate(vectors.tolist()))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = defaultdict(set)
+    for r in learned_partitions.search(table, F.col("vec_id") % 20 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    truth = exact(rows, 20)
+    hits = sum(len(found[q] & set(near)) for q, near in truth.items())
+    recall = hits / sum(map(len, truth.values()))
+    assert routers[0].layers[-1].size == 32
+    print(f"recall {recall:.4f} of {len(truth)} queries, {routers[0].probes} probes of 32 parts")
+    assert recall >= 0.93
+
+
 def test_search_of_odd_vectors(spark):
     same = [0.5, 0.5, 0.0]
     rows = [(i, same) for i in range(0, 60)] + [(100, [1.0, 0.0, 0.0]), (120, [0.0, 0.0, 0.0]), (140, None)]
