@@ -2,7 +2,7 @@
 
     profile --input <csv path>
     run --input <csv path> --output <folder> [--run-id ID] [--quarantine]
-        [--double-money] [--single-file] [--day-buckets N]
+        [--double-money] [--single-file] [--events-per-file N]
     verify --output <folder> [--run-id ID]
 """
 
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--quarantine", action="store_true", help="set malformed lines aside")
     run.add_argument("--double-money", action="store_true", help="sum money as doubles")
     run.add_argument("--single-file", action="store_true", help="exactly one file per report")
-    run.add_argument("--day-buckets", type=int, default=writers.DAY_BUCKETS, help="files per day")
+    run.add_argument("--events-per-file", type=int, default=writers.EVENTS_PER_FILE, help="cleaned")
     check = commands.add_parser("verify", help="check what a run wrote")
     check.add_argument("--output", required=True)
     check.add_argument("--run-id", help="default: the latest finished run")
@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             quarantine=args.quarantine,
             exact_money=not args.double_money,
             single_file=args.single_file,
-            day_buckets=args.day_buckets,
+            events_per_file=args.events_per_file,
         )
         print(f"run {run_id} written to {args.output}")
         if args.quarantine:

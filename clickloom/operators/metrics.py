@@ -28,7 +28,14 @@ def report_order(name: str) -> list[Column]:
     }[name]
 
 
-def activity_by_region_hour(cleaned: DataFrame, exact_money: bool = True) -> DataFrame:
+def in_report_order(name: str, df: DataFrame) -> DataFrame:
+    """An aggregate sorted for reading. A report is sorted as it is written."""
+    return df.orderBy(*report_order(name))
+
+
+def activity_by_region_hour(
+    cleaned: DataFrame, exact_money: bool = True, ordered: bool = True
+) -> DataFrame:
     """Events, users, mean duration and revenue per region, day and hour."""
     per_hour = cleaned.groupBy("region", "event_date", "event_hour").agg(
         F.count("*").alias("total_events"),
@@ -37,17 +44,17 @@ def activity_by_region_hour(cleaned: DataFrame, exact_money: bool = True) -> Dat
         total("price", exact_money).alias("total_revenue"),
         mean("price", exact_money).alias("avg_price"),
     )
-    return per_hour.orderBy(*report_order("activity_by_region_hour"))
+    return in_report_order("activity_by_region_hour", per_hour) if ordered else per_hour
 
 
-def device_statistics(cleaned: DataFrame) -> DataFrame:
+def device_statistics(cleaned: DataFrame, ordered: bool = True) -> DataFrame:
     """Events, mean duration and users per device and session category."""
     per_device = cleaned.groupBy("device", "session_category").agg(
         F.count("*").alias("session_count"),
         F.avg("duration_sec").alias("avg_duration"),
         F.count_distinct("user_id").alias("unique_users"),
     )
-    return per_device.orderBy(*report_order("device_statistics"))
+    return in_report_order("device_statistics", per_device) if ordered else per_device
 
 
 def user_activity(cleaned: DataFrame, exact_money: bool = True) -> DataFrame:
@@ -84,30 +91,34 @@ def rank_users(users: DataFrame, limit: int = schema.TOP_USERS) -> DataFrame:
     return facts.orderBy(*by_activity).limit(limit).withColumn("rank", rank.cast("long"))
 
 
-def daily_activity(cleaned: DataFrame, exact_money: bool = True) -> DataFrame:
+def daily_activity(
+    cleaned: DataFrame, exact_money: bool = True, ordered: bool = True
+) -> DataFrame:
     """Events, users and revenue per day."""
     per_day = cleaned.groupBy("event_date").agg(
         F.count("*").alias("daily_events"),
         F.count_distinct("user_id").alias("daily_users"),
         total("price", exact_money).alias("daily_revenue"),
     )
-    return per_day.orderBy(*report_order("daily_activity"))
+    return in_report_order("daily_activity", per_day) if ordered else per_day
 
 
 def analyze(
     cleaned: DataFrame, users: DataFrame | None = None, exact_money: bool = True
 ) -> dict[str, DataFrame]:
-    """The four standard aggregates by name, all lazy.
+    """The four standard aggregates by name, all lazy and in no order.
 
-    ``users`` are rows of :func:`user_activity`, where they are already at hand.
+    They are written as tables, and sorted once, when their reports are written; use
+    :func:`in_report_order` to look at them. ``users`` are rows of :func:`user_activity`,
+    where they are already at hand.
     """
     if users is None:
         users = user_activity(cleaned, exact_money)
     return {
-        "activity_by_region_hour": activity_by_region_hour(cleaned, exact_money),
-        "device_statistics": device_statistics(cleaned),
+        "activity_by_region_hour": activity_by_region_hour(cleaned, exact_money, False),
+        "device_statistics": device_statistics(cleaned, False),
         "top_users": rank_users(users),
-        "daily_activity": daily_activity(cleaned, exact_money),
+        "daily_activity": daily_activity(cleaned, exact_money, False),
     }
 
 

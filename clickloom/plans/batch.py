@@ -26,7 +26,7 @@ def load(
     counts: dict[str, int] | None = None,
     exact_money: bool = True,
     single_file: bool = False,
-    day_buckets: int = writers.DAY_BUCKETS,
+    events_per_file: int = writers.EVENTS_PER_FILE,
 ) -> None:
     """Write cleaned events once and derive everything else from the written copy.
 
@@ -38,7 +38,7 @@ def load(
     as finished.
     """
     spark = cleaned.sparkSession
-    writers.write_cleaned(cleaned, output, run_id, day_buckets)
+    writers.write_cleaned(cleaned, output, run_id, events_per_file)
     written = readers.read_cleaned(spark, output, run_id)
     writers.write_user_activity(user_activity(written, exact_money), output, run_id)
     users = readers.read_user_activity(spark, output, run_id)
@@ -56,14 +56,18 @@ def run(
     quarantine: bool = False,
     exact_money: bool = True,
     single_file: bool = False,
-    day_buckets: int = writers.DAY_BUCKETS,
+    events_per_file: int = writers.EVENTS_PER_FILE,
 ) -> str:
     """Process raw CSV files into one run under ``output``; return its id.
 
     With ``quarantine`` lines that do not fit the schema are written to
-    ``corrupt_records`` and left out; otherwise their unreadable cells become NULL. The
-    input is counted in a pass of its own: counts taken in flight would count the rows
-    of a repeated stage twice.
+    ``corrupt_records`` and left out; otherwise their unreadable cells become NULL.
+
+    With ``quarantine`` the text is read and parsed once, into a Parquet table that the
+    counts, the corrupt lines and the cleaning read; it is deleted when the run is
+    finished. Without, a pass of its own counts the rows (it splits lines and parses no
+    cell, which costs less than that table) and the cleaning parses them. Counts taken
+    in flight would count the rows of a repeated stage twice.
 
     A run that was cut short can be started again under its id. A finished one cannot:
     its readers would see it half replaced.
@@ -72,15 +76,15 @@ def run(
     if readers.is_finished(spark, output, run_id):
         raise ValueError(f"run {run_id} is already finished")
     if quarantine:
-        lines = readers.read_lines(spark, input_path)
-        raw, corrupt = readers.split_corrupt(lines)
+        parsed = readers.parse_lines(readers.read_lines(spark, input_path))
+        writers.write_parsed(parsed, output, run_id)
+        raw, corrupt = readers.read_parsed(spark, output, run_id)
         writers.write_corrupt(corrupt, output, run_id)
-        counts = readers.count_lines(lines)
-        counts["corrupt_rows"] = readers.read_corrupt(spark, output, run_id).count()
+        valid, aside = raw.count(), corrupt.count()
     else:
         raw = readers.read_clickstream(spark, input_path)
-        rows = raw.count()
-        counts = {"raw_rows": rows, "valid_rows": rows, "corrupt_rows": 0}
+        valid, aside = raw.count(), 0
+    counts = {"raw_rows": valid + aside, "valid_rows": valid, "corrupt_rows": aside}
     load(
         cleaned_events(raw),
         lambda cleaned, users: analyze(cleaned, users, exact_money),
@@ -89,6 +93,8 @@ def run(
         counts,
         exact_money,
         single_file,
-        day_buckets,
+        events_per_file,
     )
+    if quarantine:
+        writers.drop_parsed(spark, output, run_id)
     return run_id

@@ -8,6 +8,10 @@ be read for one run, or for all of them with the run as a column::
     <output>/reports/<name>_report/run_id=<id>/
     <output>/corrupt_records/run_id=<id>/
     <output>/run_summary/run_id=<id>/
+
+and, while a run is going on, its parsed input::
+
+    <output>/parsed_input/run_id=<id>/corrupt=<true|false>/
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ def corrupt_path(output: str) -> str:
     return f"{output}/corrupt_records"
 
 
+def parsed_path(output: str) -> str:
+    return f"{output}/parsed_input"
+
+
 def summary_path(output: str) -> str:
     return f"{output}/run_summary"
 

@@ -44,7 +44,7 @@ def split_corrupt(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines are skipped wherever they stand, and so are header lines in any case, quoted
     or not, with blanks around the names or a byte order mark before them.
     """
-    parsed = _parse_lines(lines)
+    parsed = parse_lines(lines)
     corrupt = F.col(schema.CORRUPT_COLUMN)
     return (
         parsed.where(corrupt.isNull()).drop(schema.CORRUPT_COLUMN),
@@ -52,16 +52,8 @@ def split_corrupt(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def count_lines(lines: DataFrame) -> dict[str, int]:
-    """Number of lines with data, and of those that fit the schema."""
-    fits = F.col(schema.CORRUPT_COLUMN).isNull()
-    counts = _parse_lines(lines).agg(
-        F.count("*").alias("raw_rows"), F.count_if(fits).alias("valid_rows")
-    )
-    return counts.first().asDict()
-
-
-def _parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Every line with data as a raw row, with ``_corrupt_record`` where it does not fit."""
     marked = T.StructType(
         [*schema.RAW_SCHEMA.fields, T.StructField(schema.CORRUPT_COLUMN, T.StringType())]
     )
@@ -80,6 +72,22 @@ def _parse_lines(lines: DataFrame) -> DataFrame:
     return lines.where(not_blank).select(F.inline(F.array(row))).where(~is_header)
 
 
+def read_parsed(spark: SparkSession, output: str, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """What a run parsed: (valid rows, lines set aside). Each reads its own folder only."""
+    columns = [
+        *schema.RAW_SCHEMA.fields,
+        T.StructField(schema.CORRUPT_COLUMN, T.StringType()),
+        T.StructField("corrupt", T.BooleanType()),
+    ]
+    parsed = spark.read.schema(T.StructType(columns)).parquet(
+        layout.run_path(layout.parsed_path(output), run_id)
+    )
+    return (
+        parsed.where("NOT corrupt").select(*schema.RAW_SCHEMA.names),
+        parsed.where("corrupt").select(schema.CORRUPT_COLUMN),
+    )
+
+
 def read_cleaned(spark: SparkSession, output: str, run_id: str | None = None) -> DataFrame:
     """Cleaned events of one run, or of all runs with their ``run_id``."""
     return _read_parquet(spark, layout.cleaned_path(output), schema.CLEANED_SCHEMA, run_id)
@@ -111,7 +119,9 @@ def read_report(
 ) -> DataFrame:
     """A delimited report. Without ``typed`` every column is text, as in the file.
 
-    A value may hold line breaks, so a file is read by one task.
+    A value may hold line breaks, so a file cannot be split and is read by one task. The
+    writer bounds the rows of a file; only a report asked for as a single file is as
+    large as it is, and so is the task that reads it.
     """
     columns = schema.AGGREGATE_SCHEMAS[name]
     if not typed:

@@ -10,6 +10,17 @@ from pyspark.sql import SparkSession
 SETTING = "spark.clickloom.scratch"
 
 
+def _resolve(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all that is in it; one that is not there is no error."""
+    path, files = _resolve(spark, folder)
+    files.delete(path, True)
+
+
 def scratch_folder(spark: SparkSession, name: str = "scratch") -> str:
     """A new path every executor can reach, deleted when the session's JVM ends."""
     root = (
@@ -18,7 +29,6 @@ def scratch_folder(spark: SparkSession, name: str = "scratch") -> str:
         or spark.conf.get("spark.sql.warehouse.dir")
     )
     folder = f"{root.rstrip('/')}/clickloom-{name}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    settings = spark._jsparkSession.sessionState().newHadoopConf()
-    path.getFileSystem(settings).deleteOnExit(path)
+    path, files = _resolve(spark, folder)
+    files.deleteOnExit(path)
     return folder

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-TESTDATA = "/root/testdata"
+from helpers import TESTDATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -8,8 +8,7 @@ import pytest
 import __spark_entry__ as contract
 from clickloom.fixtures.oracle import oracle_sql
 from clickloom.fixtures.queries import queries
-from conftest import TESTDATA
-from helpers import in_order, rows
+from helpers import TESTDATA, in_order, rows
 
 SQL_TYPES = {
     "bigint": "BIGINT",

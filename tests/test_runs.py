@@ -4,6 +4,7 @@ import re
 import shutil
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from clickloom import __main__ as cli
@@ -59,6 +60,35 @@ def test_the_input_is_read_once(spark, csv_path, tmp_path, monkeypatch):
     assert all(r.ok for r in verify.reconcile_outputs(spark, out, "r1").collect())
 
 
+def test_quarantine_parses_the_text_once(spark, small, tmp_path, monkeypatch):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    fixture.clickstream_lines(spark, small).write.text(source)
+    read = []
+    parse_lines = readers.parse_lines
+    monkeypatch.setattr(readers, "parse_lines", lambda lines: read.append(lines) or parse_lines(lines))
+    write_parsed = writers.write_parsed
+
+    def write_then_lose_the_input(*args):
+        assert plan(args[0]).count("Scan text") == 1
+        write_parsed(*args)
+        shutil.rmtree(source)
+
+    monkeypatch.setattr(writers, "write_parsed", write_then_lose_the_input)
+    batch.run(spark, source, out, "r1", quarantine=True)
+    assert len(read) == 1
+    assert all(r.ok for r in verify.reconcile_outputs(spark, out, "r1").collect())
+    with pytest.raises(AnalysisException):  # deleted with the run finished
+        readers.read_parsed(spark, out, "r1")
+
+
+def test_aggregates_are_sorted_once(cleaned):
+    """For the report, and not for the table before it."""
+    for name, df in metrics.analyze(cleaned).items():
+        if name != "top_users":
+            assert "rangepartitioning" not in plan(df)
+            assert plan(metrics.in_report_order(name, df)).count("rangepartitioning") == 1
+
+
 def test_run_reconciles(spark, output):
     assert [r.ok for r in verify.reconcile_outputs(spark, output, "r1").collect()] == [True] * 11
     inventory = verify.verify_outputs(spark, output, "r1").collect()

@@ -158,14 +158,21 @@ def test_a_day_is_read_from_its_own_folder(spark, cleaned, tmp_path):
 
 
 @pytest.mark.parametrize("adaptive, skew", [("true", "true"), ("true", "false"), ("false", "false")])
-def test_a_day_larger_than_a_partition_is_written_by_several_tasks(spark, tmp_path, adaptive, skew):
-    """All rows on one day are still split over tasks."""
-    n = 60_000
-    times = F.concat(
-        F.lit("2024-01-05 "), F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00")
-    )
+def test_a_large_day_is_many_files_and_a_small_one_is_one(spark, tmp_path, adaptive, skew):
+    """In the same run, whatever adaptive execution may do."""
+    days = {"2024-01-05": 60_000, "2024-01-06": 25_000, "2024-01-07": 9_000, "2024-01-08": 10, "2024-01-09": 1}
+    day = F.element_at(
+        F.filter(
+            F.array(
+                *(F.struct(F.lit(sum(list(days.values())[: i + 1])).alias("end"), F.lit(d).alias("day")) for i, d in enumerate(days))
+            ),
+            lambda x: x["end"] > F.col("id"),
+        ),
+        1,
+    )["day"]
+    times = F.concat(day, F.lit(" "), F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00"))
     df = cleaned_events(
-        spark.range(0, n, 1, 8).select(
+        spark.range(0, sum(days.values()), 1, 8).select(
             F.col("id").cast("string").alias("user_id"),
             F.sha2(F.col("id").cast("string"), 256).alias("session_id"),
             F.lit("click").alias("action"),
@@ -186,13 +193,38 @@ def test_a_day_larger_than_a_partition_is_written_by_several_tasks(spark, tmp_pa
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        writers.write_cleaned(df, str(tmp_path), "r1")
+        writers.write_cleaned(df, str(tmp_path), "r1", events_per_file=10_000)
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
     back = readers.read_cleaned(spark, str(tmp_path), "r1")
-    assert back.count() == n
-    assert 1 < back.select(F.input_file_name()).distinct().count() <= writers.DAY_BUCKETS
+    found = (
+        back.groupBy(F.col("event_date").cast("string").alias("day"), F.input_file_name())
+        .count()
+        .groupBy("day")
+        .agg(F.count("*").alias("files"), F.max("count").alias("most"), F.sum("count").alias("rows"))
+        .collect()
+    )
+    assert {r.day: (r.files, r.rows) for r in found} == {
+        day: (-(-rows_ // 10_000), rows_) for day, rows_ in days.items()
+    }
+    assert max(r.most for r in found) < 12_000
+
+
+def test_days_are_counted_from_the_shuffle_of_the_deduplication(cleaned):
+    df = writers.deal_by_day(cleaned, 10)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("Scan parquet") == 1
+    assert "BroadcastHashJoin" in final
+
+
+def test_more_buckets_than_tasks_lose_nothing(spark, cleaned, tmp_path):
+    writers.write_cleaned(cleaned, str(tmp_path), "r1", events_per_file=2)
+    back = readers.read_cleaned(spark, str(tmp_path), "r1")
+    assert rows(back) == rows(cleaned)
+    files = back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert files <= 4
 
 
 def test_reports_equal_aggregates(spark, cleaned, tmp_path):
@@ -257,6 +289,26 @@ def test_small_and_large_reports_take_the_same_plan(spark, tmp_path, monkeypatch
     assert not counted
 
 
+def test_large_reports_are_cut_into_files_read_by_a_task_each(spark, tmp_path):
+    name = "daily_activity"
+    days = spark.range(2500).selectExpr("date_add(DATE'2000-01-01', int(id * 7 % 2500))", "id", "id", "double(id)")
+    frame = days.toDF(*schema.AGGREGATE_SCHEMAS[name].names)
+    writers.write_report(frame, str(tmp_path), name, "r1", rows_per_file=400)
+    parts = parts_of(tmp_path, name)
+    lines = [p.read_text(encoding="utf-8").splitlines()[1:] for p in parts]
+    assert len(parts) >= 7 and max(map(len, lines)) <= 400
+    dates = [line.split(";")[0] for some in lines for line in some]
+    assert dates == sorted(dates)
+    key = "spark.sql.files.openCostInBytes"
+    spark.conf.set(key, "128m")
+    try:
+        back = readers.read_report(spark, str(tmp_path), name, "r1")
+        assert back.rdd.getNumPartitions() == len(parts)
+        assert rows(back) == rows(frame)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_an_empty_report_has_a_header_or_nothing(spark, tmp_path):
     empty = spark.createDataFrame([], schema.AGGREGATE_SCHEMAS["daily_activity"])
     writers.write_report(empty, str(tmp_path), "daily_activity", "r1")
@@ -292,7 +344,7 @@ def test_header_lines_are_no_corrupt_records(spark, tmp_path, header):
     assert corrupt.collect() == []
     assert valid.count() == readers.read_clickstream(spark, str(tmp_path)).count() == 1
     lines = readers.read_lines(spark, str(tmp_path))
-    assert readers.count_lines(lines) == {"raw_rows": 1, "valid_rows": 1}
+    assert readers.parse_lines(lines).count() == 1
 
 
 def test_writing_a_run_again_replaces_that_run_only(spark, tmp_path):
