@@ -7,6 +7,7 @@ from clickloom.llm import (
     chat_prefix,
     fair_mixing,
     ffd_packing,
+    hard_negatives,
     language_gru,
     learned_partitions,
     merkle,
@@ -27,6 +28,7 @@ OPERATORS = {
     "op8_toxicity_chain": toxicity_chain,
     "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
+    "op13_hard_negatives": hard_negatives,
 }
 
 
