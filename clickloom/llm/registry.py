@@ -12,6 +12,7 @@ from clickloom.llm import (
     learned_partitions,
     merkle,
     minhash_forest,
+    pivot_links,
     token_store,
     toxicity_chain,
     vector_sharding,
@@ -28,6 +29,7 @@ OPERATORS = {
     "op8_toxicity_chain": toxicity_chain,
     "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
+    "op12_pivot_links": pivot_links,
     "op13_hard_negatives": hard_negatives,
 }
 
