@@ -26,7 +26,8 @@ SIMILARITY = 0.93
 PIVOTS = 4
 #: Share of pairs at just the similarity that must share enough pivots.
 RECALL = 0.9995
-#: Planted pairs at just the similarity, from which the length of descriptions is taken.
+#: Planted pairs at just the similarity, and linked pairs of a sample of as many vectors,
+#: from which the length of descriptions is taken.
 PLANTED = 4096
 #: Numbers of shared pivots to choose from.
 SHARED = (1, 2, 3, 4, 5)
@@ -62,31 +63,66 @@ def nearest_pivots(units: np.ndarray, pivots: np.ndarray, length: int) -> np.nda
     return np.take_along_axis(some, order, axis=1)
 
 
-def choose(sample: np.ndarray, pivots: np.ndarray, similarity: float, recall: float = RECALL, seed: int = 0):
-    """The description with the shortest lists that keeps the recall.
+def spread(candidates: np.ndarray, similarity: float) -> np.ndarray:
+    """Candidates of which no two lie within twice the angle of ``similarity``.
 
-    Measured on pairs planted around sample vectors at just the similarity, in random
-    directions: closer pairs share more.
+    Members of one dense group would each be near other pivots of that group, by chance.
     """
-    rng = np.random.default_rng(seed)
+    least = 2 * similarity**2 - 1
+    kept = candidates[:0]
+    for start in range(0, len(candidates), 512):
+        some = candidates[start : start + 512]
+        some = some[(some @ kept.T < least).all(axis=1)]
+        near = np.tril(some @ some.T >= least, -1)
+        chosen = np.ones(len(some), bool)
+        for i in range(len(some)):
+            chosen[i] = not (near[i] & chosen).any()
+        kept = np.concatenate([kept, some[chosen]])
+    return kept
+
+
+def _planted(sample: np.ndarray, similarity: float, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs around sample vectors at just the similarity, in random directions."""
     one = sample[rng.integers(0, len(sample), PLANTED)]
     one = _unit(one + rng.normal(size=one.shape) * 0.3 / math.sqrt(one.shape[1]))
     away = rng.normal(size=one.shape)
     away -= (away * one).sum(axis=1, keepdims=True) * one
     size = np.sqrt((away**2).sum(axis=1, keepdims=True))
-    two = similarity * one + math.sqrt(1 - similarity**2) * away / np.where(size > 0, size, 1)
-    ranks = []
-    for units in (one, two):
-        order = np.argsort(-(units @ pivots.T), axis=1, kind="stable")
-        ranks.append(np.argsort(order, axis=1))
-    later = np.sort(np.maximum(*ranks), axis=1)  # a pivot is shared from this length on
+    return one, similarity * one + math.sqrt(1 - similarity**2) * away / np.where(size > 0, size, 1)
+
+
+def _hardest(sample: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of the sample that are least alike, PLANTED at most."""
+    cosines, pairs = np.zeros(0), np.zeros((0, 2), int)
+    for start in range(0, len(sample), 512):
+        near = sample[start : start + 512] @ sample.T
+        rows, others = np.nonzero(near >= similarity)
+        rows, others = (x[rows + start < others] for x in (rows, others))
+        cosines = np.concatenate([cosines, near[rows, others]])
+        pairs = np.concatenate([pairs, np.stack([rows + start, others], axis=1)])
+        least = np.argsort(cosines, kind="stable")[:PLANTED]
+        cosines, pairs = cosines[least], pairs[least]
+    return sample[pairs[:, 0]], sample[pairs[:, 1]]
+
+
+def choose(sample: np.ndarray, pivots: np.ndarray, similarity: float, recall: float = RECALL, seed: int = 0):
+    """The description with the shortest lists that keeps the recall.
+
+    Measured on planted pairs at just the similarity, and on the linked pairs that the
+    sample itself has: closer pairs share more.
+    """
+    met = []
+    for pair in (_planted(sample, similarity, np.random.default_rng(seed)), _hardest(sample, similarity)):
+        if len(pair[0]):
+            ranks = (np.argsort(np.argsort(-(u @ pivots.T), axis=1, kind="stable"), axis=1) for u in pair)
+            met.append(np.sort(np.maximum(*ranks), axis=1))  # a pivot is shared from this length on
     best = None
     for shared in SHARED:
         if shared <= len(pivots):
-            needed = np.sort(later[:, shared - 1]) + 1
-            found = Description(int(needed[math.ceil(recall * len(needed)) - 1]), shared)
-            if best is None or found.lists < best.lists:
-                best = found
+            needed = (np.sort(later[:, shared - 1]) for later in met)
+            length = 1 + max(int(n[math.ceil(recall * len(n)) - 1]) for n in needed)
+            if best is None or length - shared + 1 < best.lists:
+                best = Description(length, shared)
     return best
 
 
@@ -187,8 +223,9 @@ def _pairs_of_lists(classes: DataFrame, work: Workspace, similarity: float) -> D
     # bounded: about 4 * sqrt(rows) vectors, 130,000 of 10^9
     chosen = by_hash(classes, wanted, "id").select("dim", "embedding").toPandas()
     tried = by_hash(classes, PLANTED, "id", seed=1).select("dim", "embedding").toPandas()
-    pivots = {int(d): _unit(np.stack(g.to_numpy()).astype(float)) for d, g in chosen.groupby("dim")["embedding"]}
-    sampled = {int(d): _unit(np.stack(g.to_numpy()).astype(float)) for d, g in tried.groupby("dim")["embedding"]}
+    of_length = lambda found: found.groupby("dim")["embedding"]
+    sampled = {int(d): _unit(np.stack(g.to_numpy()).astype(float)) for d, g in of_length(tried)}
+    pivots = {int(d): spread(_unit(np.stack(g.to_numpy()).astype(float)), similarity) for d, g in of_length(chosen)}
     descriptions = {d: choose(sampled.get(d, p), p, similarity) for d, p in pivots.items()}
     near = classes.select("id", "dim", "embedding").mapInArrow(
         lambda b: _described(b, pivots, descriptions), "id long, near array<int>"
