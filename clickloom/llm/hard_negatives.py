@@ -205,8 +205,8 @@ WITH v AS (
 a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
 s AS (
   SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
-         list_inner_product(a.parts, v.parts)::BIGINT AS score
-  FROM a JOIN v ON a.vec_id <> v.vec_id),
+         CASE WHEN len(a.parts) = len(v.parts) THEN list_inner_product(a.parts, v.parts)::BIGINT END AS score
+  FROM a JOIN v ON a.vec_id <> v.vec_id AND len(a.parts) = len(v.parts)),
 p AS (
   SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)

@@ -329,15 +329,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH RECURSIVE v AS (
-  SELECT row_number() OVER () AS n, vec_id, label, embedding::DOUBLE[] AS e,
-         vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS valid
+  SELECT row_number() OVER () AS n, vec_id, label,
+         CASE WHEN vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN embedding::DOUBLE[] END AS e
   FROM embeddings),
 l AS (
-  SELECT a.n AS a, b.n AS b, b.vec_id AS other FROM v a JOIN v b
-  ON a.label = b.label AND a.n <> b.n AND a.valid AND b.valid AND len(a.e) = len(b.e)
-  AND list_cosine_similarity(a.e, b.e) >= 0.93),
+  SELECT a.n AS a, b.n AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.n <> b.n
+  AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.93 END),
 r AS (SELECT n AS a, n AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.n) AS n_links,
        (SELECT min(w.vec_id) FROM r JOIN v w ON r.b = w.n WHERE r.a = v.n) AS component_id,

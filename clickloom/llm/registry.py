@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from clickloom.llm import (
     chat_prefix,
+    conversation_repair,
     fair_mixing,
     ffd_packing,
     hard_negatives,
@@ -29,6 +30,7 @@ OPERATORS = {
     "op8_toxicity_chain": toxicity_chain,
     "op9_ffd_packing": ffd_packing,
     "op10_fair_mixing": fair_mixing,
+    "op11_conversation_repair": conversation_repair,
     "op12_pivot_links": pivot_links,
     "op13_hard_negatives": hard_negatives,
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.workspace import Workspace
+
 
 def bounds_of(df: DataFrame, column: str, slices: int | None = None) -> list:
     """Values that cut a column into about equal slices; one small aggregate."""
@@ -25,3 +27,26 @@ def slice_of(column: Column, bounds: list) -> Column:
 def in_slices(df: DataFrame, bounds: list, *order: str | Column) -> DataFrame:
     """One task per slice, rows sorted, nulls first. ``df`` has a column ``slice``."""
     return df.repartitionById(len(bounds) + 1, "slice").sortWithinPartitions("slice", *order)
+
+
+def ordered(work: Workspace, df: DataFrame, name: str, *order: str) -> DataFrame:
+    """Rows in one order, as a written table with ``slice`` and ``place``.
+
+    Range-partitioned: the bounds are sampled, a row finds its slice by a binary search,
+    and adaptive execution sets the number of slices from the size of the data. Slices
+    are ascending, and so are places, over all slices; ``place`` divided by 2**33 is the
+    slice. Nulls go first. Rows equal in ``order`` stay in one slice.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ranged.withColumn("place", F.monotonically_increasing_id())
+    return work.save(numbered.withColumn("slice", F.shiftright("place", 33).cast("int")), name)
+
+
+def count_slices(table: DataFrame) -> int:
+    """How many slices a written table of :func:`ordered` has."""
+    return (table.agg(F.max("slice")).first()[0] or 0) + 1
+
+
+def one_task_a_slice(df: DataFrame, slices: int, *order: str | Column) -> DataFrame:
+    """Rows with a ``slice``, each slice sorted in a task of its own."""
+    return df.repartitionById(slices, "slice").sortWithinPartitions(*order)

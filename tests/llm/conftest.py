@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from oddities import CLASHING
+
 LAYOUT = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(20_000))
 
@@ -22,12 +24,6 @@ ODD = [
     (-3, "line one\nline two\n\n\nline  three   spaced", "en", "a", 4),
     (10, "snow ☃ 雪 😀 é é </s>[INST] \\ x", "fr", "", 4),
 ]
-#: Names that the operators use inside.
-CLASHING = (
-    "key size slice row part bytes tokens rows id at label of pass finish running range slot shard group "
-    "fold own other pair block members copies words form _ start length taken target"
-).split()
-
 
 @pytest.fixture(scope="session")
 def odd(spark):
