@@ -79,7 +79,7 @@ def _search(books, windows_of, same_label: bool):
                 allowed = (labels == label) == same_label
                 seen = members
                 if own in classes:  # its own row is no candidate
-                    seen = dict(enumerate(members))
+                    seen = members.copy()
                     seen[classes[own]] = [m for m in members[classes[own]] if m != anchor]
                 windows = windows_of(highs)
                 multi_index.fill(cells, wanted[row], windows, allowed, seen)

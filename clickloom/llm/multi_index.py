@@ -12,6 +12,8 @@ CODES = 16
 ROUNDS = 10
 #: Sums of products below this are exact in double precision.
 EXACT = 2.0**53
+#: Rows of the first cells that are scored at once, and of later ones at most.
+FIRST, MOST = 128, 4096
 
 
 def fit_codebooks(sample: np.ndarray, codes: int = CODES, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -41,12 +43,7 @@ def assign(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Integer inner products; beyond 64 bits the nearest 64-bit number."""
-    if not vectors.size:
-        return np.zeros(len(vectors), np.int64)
-    size = float(np.abs(vectors).max()) * float(np.abs(query).max()) * vectors.shape[1]
-    if size < EXACT:
-        return (vectors.astype(float) @ query.astype(float)).astype(np.int64)
+    """Inner products of large integers; beyond 64 bits the nearest 64-bit number."""
     ends = np.iinfo(np.int64)
     whole = [sum(int(a) * int(b) for a, b in zip(row, query)) for row in vectors]
     return np.array([min(max(s, ends.min), ends.max) for s in whole], np.int64)
@@ -72,8 +69,16 @@ class MultiIndex:
             self.radii.append(radius)
         cells = codes[0] * len(books[1]) + codes[1]
         self.order = np.argsort(cells, kind="stable")
-        self.ends = np.searchsorted(cells[self.order], np.arange(len(books[0]) * len(books[1])), "right")
+        count = len(books[0]) * len(books[1])
+        self.starts = np.searchsorted(cells[self.order], np.arange(count + 1)).tolist()
         self.vectors = vectors[self.order].astype(np.int64)
+        self.doubles = self.vectors.astype(float)
+        self.largest = float(np.abs(self.doubles).max(initial=0)) * vectors.shape[1]
+
+    def _scores(self, places: np.ndarray, query: np.ndarray) -> np.ndarray:
+        if self.largest * float(np.abs(query).max(initial=0)) < EXACT:
+            return (self.doubles[places] @ query.astype(float)).astype(np.int64)
+        return products(self.vectors[places], query)
 
     def _bounds(self, half: int, query: np.ndarray) -> tuple[np.ndarray, list[float]]:
         """Codes with members in falling order of their half-score bounds, and the bounds."""
@@ -88,7 +93,8 @@ class MultiIndex:
 
         Multi-sequence search: both lists of half codes are sorted by their bounds, and a
         heap holds the borders of what has been visited. A cell is pushed when the cells
-        before it in both lists are out. Scores are computed when a cell is reached.
+        before it in both lists are out. Cells are scored some at a time, twice as many
+        rows each time; the bound is the one of the first of them.
         """
         whole = query.astype(float)
         half = self.books[0].shape[1]
@@ -96,17 +102,31 @@ class MultiIndex:
         if not lists[0] or not lists[1]:
             return
         width = len(self.books[1])
-        heap, out = [(-(lists[0][0] + lists[1][0]), 0, 0)], set()
+        ones, others = lists
+        codes = [o.tolist() for o in orders]
+        heap, done = [(-(ones[0] + others[0]), 0, 0)], [0] * len(ones)  # cells out in each line
+        cells, held, limit, top = [], 0, FIRST, None
         while heap:
             bound, i, j = heapq.heappop(heap)
-            out.add((i, j))
-            cell = int(orders[0][i]) * width + int(orders[1][j])
-            first, last = (int(self.ends[cell - 1]) if cell else 0), int(self.ends[cell])
+            done[i] = j + 1
+            cell = codes[0][i] * width + codes[1][j]
+            first, last = (self.starts[cell], self.starts[cell + 1])
             if last > first:
-                yield -bound, self.order[first:last], products(self.vectors[first:last], query)
-            for a, b, before in ((i + 1, j, (i + 1, j - 1)), (i, j + 1, (i - 1, j + 1))):
-                if a < len(lists[0]) and b < len(lists[1]) and (0 in (a, b) or before in out):
-                    heapq.heappush(heap, (-(lists[0][a] + lists[1][b]), a, b))
+                top = -bound if top is None else top
+                cells.append(np.arange(first, last))
+                held += last - first
+                if held >= limit:
+                    places = np.concatenate(cells)
+                    yield top, self.order[places], self._scores(places, query)
+                    cells, held, limit, top = [], 0, min(2 * limit, MOST), None
+            # a line goes on below what the line before it has out; the next line starts with it
+            if j + 1 < len(others) and (i == 0 or done[i - 1] > j + 1):
+                heapq.heappush(heap, (-(ones[i] + others[j + 1]), i, j + 1))
+            if i + 1 < len(ones) and done[i + 1] == j:
+                heapq.heappush(heap, (-(ones[i + 1] + others[j]), i + 1, j))
+        if cells:
+            places = np.concatenate(cells)
+            yield top, self.order[places], self._scores(places, query)
 
 
 class Window:
@@ -121,13 +141,13 @@ class Window:
         low = -np.inf if self.low is None else self.low
         return max(low, -self.best[-1][0]) if len(self.best) == self.size else low
 
-    def add(self, scores: np.ndarray, members: list[list[int]]) -> None:
+    def add(self, scores: np.ndarray, rows: np.ndarray, members: list[list[int]]) -> None:
         inside = scores >= self.least()
         if self.high is not None:
             inside &= scores <= self.high
         at = np.flatnonzero(inside)
         if len(at):
-            found = [(-int(scores[i]), m) for i in at for m in members[i]]
+            found = [(-int(scores[i]), m) for i in at for m in members[rows[i]]]
             self.best = heapq.nsmallest(self.size, self.best + found)
 
 
@@ -145,7 +165,6 @@ def fill(index: MultiIndex, query: np.ndarray, windows: list[Window], allowed, m
         kept = allowed[rows]
         if kept.any():
             rows, scores = rows[kept], scores[kept]
-            ids = [members[r] for r in rows]
             for window in open_:
-                window.add(scores, ids)
+                window.add(scores, rows, members)
     return scored
