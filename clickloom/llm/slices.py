@@ -1,4 +1,4 @@
-"""Rows in a global order, as numbered slices that tasks work through one after another."""
+"""Rows in a global order, in numbered slices that tasks work through one after another."""
 
 from __future__ import annotations
 
@@ -8,38 +8,30 @@ from pyspark.sql import functions as F
 from clickloom.llm.workspace import Workspace
 
 
-def bounds_of(df: DataFrame, column: str, slices: int | None = None) -> list:
-    """Values that cut a column into about equal slices; one small aggregate."""
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / slices for i in range(1, slices)] or [0.5]
-    found = df.agg(F.percentile_approx(column, F.lit(shares), F.lit(100 * slices)).alias("at")).first().at
-    return sorted(set(found or []))
+def ranged(df: DataFrame, slices: int | None, *order: str | Column) -> DataFrame:
+    """Rows sorted by ``order`` over all tasks, nulls first, with their task's ``slice``.
 
-
-def slice_of(column: Column, bounds: list) -> Column:
-    """The number of bounds below a value, so slices are ascending; null goes first."""
-    if not bounds:
-        return F.lit(0)
-    below = F.size(F.filter(F.lit(bounds), lambda bound: bound < column))
-    return F.coalesce(F.when(column.isNotNull(), below), F.lit(0))
-
-
-def in_slices(df: DataFrame, bounds: list, *order: str | Column) -> DataFrame:
-    """One task per slice, rows sorted, nulls first. ``df`` has a column ``slice``."""
-    return df.repartitionById(len(bounds) + 1, "slice").sortWithinPartitions("slice", *order)
+    Range-partitioned: the bounds are sampled, a row finds its slice by a binary search,
+    and adaptive execution sets the number of slices from the size of the data unless one
+    is given. Slices are ascending, and some may have no rows. Only rows equal in all of
+    ``order`` are sure to share a slice. The numbers hold within a job: write them with
+    what is derived from the rows.
+    """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    named = df.withColumns({f"_order_{i}": key for i, key in enumerate(keys)})
+    names = [f"_order_{i}" for i in range(len(keys))]
+    dealt = named.repartitionByRange(slices, *names) if slices else named.repartitionByRange(*names)
+    return dealt.sortWithinPartitions(*names).drop(*names).withColumn("slice", F.spark_partition_id())
 
 
-def ordered(work: Workspace, df: DataFrame, name: str, *order: str) -> DataFrame:
-    """Rows in one order, as a written table with ``slice`` and ``place``.
+def ordered(work: Workspace, df: DataFrame, name: str, *order: str, slices: int | None = None) -> DataFrame:
+    """Rows in one order as a written table with ``slice`` and ``place``.
 
-    Range-partitioned: the bounds are sampled, a row finds its slice by a binary search,
-    and adaptive execution sets the number of slices from the size of the data. Slices
-    are ascending, and so are places, over all slices; ``place`` divided by 2**33 is the
-    slice. Nulls go first. Rows equal in ``order`` stay in one slice.
+    As :func:`ranged`; places ascend over all slices, and ``place`` divided by 2**33 is
+    the slice.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = ranged.withColumn("place", F.monotonically_increasing_id())
-    return work.save(numbered.withColumn("slice", F.shiftright("place", 33).cast("int")), name)
+    numbered = ranged(df, slices, *order).withColumn("place", F.monotonically_increasing_id())
+    return work.save(numbered, name)
 
 
 def count_slices(table: DataFrame) -> int:

@@ -20,7 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.slices import bounds_of, in_slices, slice_of
+from clickloom.llm.sampling import by_hash
+from clickloom.llm.slices import ranged
 from clickloom.llm.tokens import encoder
 from clickloom.llm.workspace import Workspace
 
@@ -32,6 +33,9 @@ SAMPLE_BYTES = 32 * 1024 * 1024
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 BLOCK_BYTES = 4 * 1024 * 1024
+#: Words that a task remembers, and bytes of text whose words are looked up together.
+REMEMBERED = 1_000_000
+PORTION = 10 * 1024 * 1024
 
 BLOCKS = (
     "slice int, block int, doc_ids array<long>, offsets array<long>, counts array<long>, "
@@ -43,12 +47,15 @@ DOCUMENTS = "doc_id long, slice int, block int, place int, n_tokens long, ids bi
 def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> bytes:
     """A dictionary from the ids of at most SAMPLE_DOCS whole documents, to SAMPLE_BYTES.
 
-    With too little to train on the dictionary is raw content, maybe empty.
+    A share of the documents is chosen by hash, repeated ones once, so a task ships its
+    share of SAMPLE_DOCS texts only. With too little to train on the dictionary is raw
+    content, maybe empty.
     """
+    chosen = by_hash(docs.select("doc_id", "text"), SAMPLE_DOCS, "doc_id", "text").filter("text <> ''")
     sample = (
-        docs.select("text", F.xxhash64("doc_id", "text").alias("at"))
-        .filter("text <> ''")
-        .orderBy("at", "text")
+        chosen.groupBy(F.xxhash64("doc_id", "text").alias("at"))
+        .agg(F.min("text").alias("text"))
+        .orderBy("at")
         .limit(SAMPLE_DOCS)
     )
     encode, end = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
@@ -74,7 +81,7 @@ def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _write(batches, content: bytes, tokenizer: str, end_id: int):
     """Blocks from rows of (slice, doc_id, text) in order."""
-    encode_all, end = encoder(tokenizer).encode_all, np.uint32(end_id).tobytes()
+    encode_all, end = encoder(tokenizer, REMEMBERED, PORTION).encode_all, np.uint32(end_id).tobytes()
     compress = zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(content)).compress
     digest = hashlib.sha256(content).hexdigest()
     at, block, doc_ids, counts, frames, size = None, 0, [], [], [], 0
@@ -108,11 +115,12 @@ def _write(batches, content: bytes, tokenizer: str, end_id: int):
 def write_store(
     docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID, slices: int | None = None
 ) -> None:
-    """Write all documents in ascending doc_id order, null first, ties by text.
+    """Write all documents in ascending doc_id order, null first, ties by a hash of the text.
 
     A null text is empty; every document ends with ``end_id``; repeated rows are
     documents of their own; an empty table gives a store without blocks. Other columns
-    are ignored. One task works through one slice of ids and holds one block.
+    are ignored. One task works through one slice of the order and holds one block; rows
+    with one doc_id, equal ones too, spread over slices like any others.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
@@ -120,10 +128,9 @@ def write_store(
     spark.createDataFrame(
         [(hashlib.sha256(content).hexdigest(), bytearray(content))], "dictionary string, content binary"
     ).write.parquet(f"{path}/dictionary")
-    bounds = bounds_of(rows, "doc_id", slices)
-    dealt = rows.select(slice_of(F.col("doc_id"), bounds).alias("slice"), "doc_id", "text")
-    ordered = in_slices(dealt, bounds, "doc_id", "text")
-    blocks = ordered.mapInArrow(lambda batches: _write(batches, content, tokenizer, end_id), BLOCKS)
+    in_order = ranged(rows, slices, "doc_id", F.xxhash64("text"), F.monotonically_increasing_id())
+    numbered = in_order.select("slice", "doc_id", "text")
+    blocks = numbered.mapInArrow(lambda batches: _write(batches, content, tokenizer, end_id), BLOCKS)
     blocks.write.parquet(f"{path}/blocks")
 
 

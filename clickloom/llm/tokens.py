@@ -12,9 +12,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Words an encoder remembers, about 250 bytes each.
+#: Words an encoder remembers, about 250 bytes each. Others are encoded anew.
 REMEMBERED = 600_000
-#: Bytes of text whose different words are looked up together.
+#: Bytes of text whose different words are looked up together; the larger, the fewer
+#: look-ups. About 12 bytes of memory each.
 PORTION = 4 * 1024 * 1024
 
 
@@ -27,10 +28,11 @@ class Encoder:
     bytes.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, remembered: int = REMEMBERED, portion: int = PORTION):
+        self.portion = portion
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words = _Words(self._whole, self._letters)
+        self.words = _Words(self._whole, self._letters, remembered)
         self.model = self.tokenizer.model
         self.space = " " if self._whole(" a") != self._whole("a") else ""
         self.breaks = len(self._whole("\n")) // 4
@@ -50,13 +52,13 @@ class Encoder:
         return next(self.encode_all(pa.array([text])))
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
-        """Ids of every text, null as empty; about PORTION bytes of text at once."""
+        """Ids of every text, null as empty; about a portion of text at once."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy())
         at = 0
         while at < len(texts):
             before = int(ends[at - 1]) if at else 0
-            end = max(at + 1, int(np.searchsorted(ends, before + PORTION, "right")))
+            end = max(at + 1, int(np.searchsorted(ends, before + self.portion, "right")))
             yield from self._portion(texts.slice(at, end - at))
             at = end
 
@@ -69,13 +71,15 @@ class Encoder:
         pieces = pc.split_pattern(pc.binary_join_element_wise(front, spaced, nothing), " ")
         words = pieces.flatten().dictionary_encode()
         known = list(map(self.words.__getitem__, words.dictionary.to_pylist()))
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         ids = np.frombuffer(b"".join(known), "<u4")
         index = words.indices.to_numpy()
         counts = sizes[index]
-        ends = np.cumsum(counts)
-        first = (np.cumsum(sizes) - sizes)[index] - (ends - counts)
-        found = ids[np.repeat(first, counts) + np.arange(ends[-1])]
+        ends = np.cumsum(counts, dtype=np.int32)  # a text has less than 2**31 bytes
+        first = (np.cumsum(sizes, dtype=np.int32) - sizes)[index] - (ends - counts)
+        at = np.repeat(first, counts)
+        at += np.arange(ends[-1], dtype=np.int32)
+        found = ids[at]
         borders = np.concatenate([[0], ends])[pieces.offsets.to_numpy()]
         for i in range(len(texts)):
             if odd[i]:
@@ -116,8 +120,8 @@ _SIGNS = ".,;:!?"
 class _Words(dict):
     """Ids of words that follow a space or start with a line break."""
 
-    def __init__(self, encode, letters):
-        self.encode, self.letters = encode, letters
+    def __init__(self, encode, letters, remembered: int):
+        self.encode, self.letters, self.remembered = encode, letters, remembered
         self.signs = {sign: encode(sign) for sign in _SIGNS}
 
     def __missing__(self, word: str) -> bytes:
@@ -128,12 +132,12 @@ class _Words(dict):
             ids = self[word[:-1]] + self.signs[word[-1]]
         else:
             ids = self.encode(word if word[:1] == "\n" else " " + word)
-        if len(self) < REMEMBERED:
+        if len(self) < self.remembered:
             self[word] = ids
         return ids
 
 
 @cache
-def encoder(name: str) -> Encoder:
+def encoder(name: str, remembered: int = REMEMBERED, portion: int = PORTION) -> Encoder:
     """One encoder for a Python worker."""
-    return Encoder(name)
+    return Encoder(name, remembered, portion)

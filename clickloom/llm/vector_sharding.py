@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.slices import bounds_of, slice_of
+from clickloom.llm.slices import ordered
 from clickloom.llm.workspace import Workspace
 
 SHARDS = 40
@@ -109,27 +109,30 @@ def assign(docs: DataFrame, shards: int = SHARDS, slices: int | None = None) ->
         .unionByName(spark.createDataFrame(chosen, kind))
     )
     found = work.save(parted.join(work.save(placed, "placed"), ["key", "part"]), "found")
-    return _with_slots(found, slices)
+    return _with_slots(found, work, slices)
 
 
-def _with_slots(found: DataFrame, slices: int | None) -> DataFrame:
-    """Number the rows of a shard: counts of slices of ids first, then within a slice."""
-    sliced = found.withColumn("slice", slice_of(F.col("doc_id"), bounds_of(found, "doc_id", slices)))
+def _with_slots(found: DataFrame, work: Workspace, slices: int | None) -> DataFrame:
+    """Number the rows of a shard: counts of slices first, then within a slice.
+
+    Rows with one doc_id, or equal ones, spread over slices like any others.
+    """
+    sliced = ordered(work, found, "ordered", "doc_id", "key", "row", slices=slices)
     earlier = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     counts = sliced.groupBy("shard", "slice").agg(F.count("*").alias("n"))
     starts = counts.select(
         "shard", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    within = Window.partitionBy("shard", "slice").orderBy("doc_id", "key", "row")
+    within = Window.partitionBy("shard", "slice").orderBy("place")
     return (
-        sliced.withColumn("place", F.row_number().over(within))
+        sliced.withColumn("number", F.row_number().over(within))
         .join(starts, ["shard", "slice"])
         .select(
             "doc_id",
             F.col("bytes").alias("size"),
             "text_crc32",
             "shard",
-            (F.col("before") + F.col("place") - 1).alias("slot"),
+            (F.col("before") + F.col("number") - 1).alias("slot"),
         )
     )
 
