@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm.slices import ordered
 from clickloom.llm.workspace import Workspace
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +20,10 @@ SHARE = 1.5
 PASSES = 2
 #: Ranges of shuffle keys within a source, and of finish times among all documents.
 RANGES = 4096
+#: Equal rows above which those of one key are dealt to several tasks.
+MANY = 4096
+#: The order in which rows leave the queue.
+ORDER = ("finish", "source_rank", "pass", "key", "number")
 
 
 def size_of(text: Column) -> Column:
@@ -70,38 +75,44 @@ def _range_of(key: Column) -> Column:
 
 
 def _finish_times(sizes: DataFrame, goals: DataFrame, passes: int) -> DataFrame:
-    """One row per key of a source and pass: source_rank, key, pass, size, finish.
+    """One row per document and pass: source_rank, key, number, pass, size, finish.
 
-    Running sums go over ranges of keys first and then within a range, so the documents
-    of one source are never in one task.
+    Rows equal in id and text share a key and are numbered from 1; each stands in the
+    queue on its own. Running sums go over ranges of keys first and then within a range,
+    so the documents of one source are never in one task; equal rows are counted before
+    they are dealt, and dealt to several tasks where they are many.
     """
     keyed = (
         sizes.filter("size > 0")
         .groupBy("source", "key")
-        .agg(F.sum("size").alias("size"))
+        .agg(F.max("size").alias("size"), F.count("*").alias("n"))
+        .withColumn("words", F.col("size") * F.col("n"))
         .withColumn("range", _range_of(F.col("key")))
     )
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
         keyed.groupBy("source", "range")
-        .agg(F.sum("size").alias("in_range"))
+        .agg(F.sum("words").alias("in_range"))
         .withColumn("before", F.coalesce(F.sum("in_range").over(earlier), F.lit(0)))
     )
     starts = ranges.join(goals, ranges.source.eqNullSafe(goals.source)).select(
         ranges.source.alias("of"), F.col("range").alias("at"), "before", "source_size", "source_rank", "target"
     )
-    running = F.sum("size").over(Window.partitionBy("source", "range").orderBy("key"))
-    placed = keyed.withColumn("running", running)
+    running = F.sum("words").over(Window.partitionBy("source", "range").orderBy("key"))
+    placed = keyed.withColumn("behind", running - F.col("words"))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("at")))
-    done = F.col("pass") * F.col("source_size") + F.col("before") + F.col("running")
-    return placed.withColumn("pass", F.explode(F.array(*map(F.lit, range(passes))))).select(
-        "source_rank", "key", "pass", "size", (done / F.col("target")).alias("finish")
-    )
+    few = placed.filter(F.col("n") <= MANY).withColumn("number", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    parts = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / MANY))
+    part = placed.filter(F.col("n") > MANY).withColumn("part", F.explode(parts)).repartition("source", "key", "part")
+    last = F.least(F.col("n"), (F.col("part") + 1) * MANY)
+    many = part.withColumn("number", F.explode(F.sequence(F.col("part") * MANY + 1, last))).drop("part")
+    done = F.col("pass") * F.col("source_size") + F.col("before") + F.col("behind") + F.col("number") * F.col("size")
+    rows = few.unionByName(many).withColumn("pass", F.explode(F.array(*map(F.lit, range(passes)))))
+    return rows.select("source_rank", "key", "number", "pass", "size", (done / F.col("target")).alias("finish"))
 
 
 def _last_taken(items: DataFrame, budget: float):
     """The last row, by finish time, that the budget still holds; None if there is none."""
-    order = ("finish", "source_rank", "pass", "key")
     slot = F.least(F.floor(F.col("finish") * (RANGES // 2)), F.lit(RANGES * 4)).cast("int")
     ranged = items.withColumn("slot", slot)
     earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,22 +128,22 @@ def _last_taken(items: DataFrame, budget: float):
     lowest = min(row.slot for row in crossing)
     before = min(row.before for row in crossing)
     last = ranged.filter(F.col("slot").between(lowest, max(row.slot for row in crossing)))
-    total = F.lit(before) + F.sum("size").over(Window.partitionBy().orderBy(*order))
+    total = F.lit(before) + F.sum("size").over(Window.partitionBy().orderBy(*ORDER))
     held = last.withColumn("total", total).filter(F.col("total") <= F.lit(budget))
-    row = held.agg(F.max(F.struct(*order)).alias("last")).first().last
+    row = held.agg(F.max(F.struct(*ORDER)).alias("last")).first().last
     if row is not None:
         return row
-    return ranged.filter(F.col("slot") < lowest).agg(F.max(F.struct(*order)).alias("last")).first().last
+    return ranged.filter(F.col("slot") < lowest).agg(F.max(F.struct(*ORDER)).alias("last")).first().last
 
 
 def cutoffs(
     spark: SparkSession, sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES
 ) -> DataFrame:
-    """One row per source: source, source_size, target, and ``last_key_<pass>``.
+    """One row per source: source, source_size, target, and ``last_<pass>``.
 
-    ``sizes`` has source, key and size. A document is taken in a pass if its key is at
-    or before the pass's last key; null: the pass takes none. Documents equal in id and
-    text share a key and are taken alike.
+    ``sizes`` has source, key and size. A document is taken in a pass if its key and its
+    number among equal rows are at or before the pass's last (key, number); null: the
+    pass takes none.
     """
     work = Workspace(spark, "mixing")
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -140,21 +151,48 @@ def cutoffs(
     items = work.save(_finish_times(sizes, goals, passes), "finish_times")
     budget = share * (goals.agg(F.sum("source_size")).first()[0] or 0)
     last = _last_taken(items, budget)
-    order = ("finish", "source_rank", "pass", "key")
     taken = items.filter("false")
     if last is not None:
-        bound = F.struct(*(F.lit(last[c]).cast(items.schema[c].dataType).alias(c) for c in order))
-        taken = items.filter(F.struct(*order) <= bound)
+        bound = F.struct(*(F.lit(last[c]).cast(items.schema[c].dataType).alias(c) for c in ORDER))
+        taken = items.filter(F.struct(*ORDER) <= bound)
     per_pass = [
-        F.max(F.when(F.col("pass") == p, F.col("key"))).alias(f"last_key_{p}") for p in range(passes)
+        F.max(F.when(F.col("pass") == p, F.struct("key", "number"))).alias(f"last_{p}") for p in range(passes)
     ]
     ends = taken.groupBy("source_rank").agg(*per_pass)
     return work.save(goals.join(ends, "source_rank", "left"), "cutoffs")
 
 
-def _copies(key: Column, passes: int) -> Column:
-    """In how many passes a document with this key is taken."""
-    return sum((F.coalesce((key <= F.col(f"last_key_{p}")).cast("int"), F.lit(0)) for p in range(passes)), F.lit(0))
+def _with_copies(rows: DataFrame, ends: DataFrame, passes: int, work: Workspace) -> DataFrame:
+    """Rows (of, key, taking and others) with ``copies``, the passes that take them.
+
+    Only rows at a pass's last key depend on their number: these are put in order over
+    all tasks and counted by slices, so many equal rows are no single task's. Which of
+    them are taken follows from all columns.
+    """
+    lasts = [F.col(f"last_{p}") for p in range(passes)]
+    found = rows.join(F.broadcast(ends), F.col("of").eqNullSafe(F.col("source_")))  # a row for each source
+    border = F.coalesce(F.greatest(*((F.col("key") == last["key"]) for last in lasts)), F.lit(False)) & F.col("taking")
+
+    def copies(taken_in) -> Column:
+        some = sum((F.coalesce(taken_in(last).cast("int"), F.lit(0)) for last in lasts), F.lit(0))
+        return F.when(F.col("taking"), some).otherwise(F.lit(0))
+
+    inner = found.filter(~border).withColumn("copies", copies(lambda last: F.col("key") < last["key"]))
+    at_end = found.filter(border).withColumns(
+        {"same": F.xxhash64(*rows.columns), "any": F.monotonically_increasing_id()}
+    )
+    placed = ordered(work, at_end, "border", "of", "key", "same", "any")
+    earlier = Window.partitionBy("of", "key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("of", "key", "slice").agg(F.count("*").alias("held"))
+    starts = counts.withColumn("ahead", F.coalesce(F.sum("held").over(earlier), F.lit(0))).select(
+        F.col("of").alias("of_"), F.col("key").alias("key_"), F.col("slice").alias("slice_"), "ahead"
+    )
+    own = F.col("of").eqNullSafe(F.col("of_")) & (F.col("key") == F.col("key_")) & (F.col("slice") == F.col("slice_"))
+    within = F.row_number().over(Window.partitionBy("of", "key", "slice").orderBy("place"))
+    numbered = placed.withColumn("within", within).join(starts, own)
+    numbered = numbered.withColumn("row_number", F.struct("key", (F.col("ahead") + F.col("within")).alias("number")))
+    outer = numbered.withColumn("copies", copies(lambda last: F.col("row_number") <= last))
+    return inner.unionByName(outer.select(*inner.columns))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
@@ -162,10 +200,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PA
 
     Null texts, blank texts and sources without words have size 0 and take nothing; a
     null source is a source of its own, last in order; repeated rows are documents of
-    their own; an empty table gives an empty result. Extra columns are ignored.
+    their own, each taken or not; an empty table gives an empty result. Extra columns
+    are ignored.
     """
-    spark = docs.sparkSession
-    sizes = Workspace(spark, "sizes").save(
+    work = Workspace(docs.sparkSession, "sizes")
+    sizes = work.save(
         docs.select(
             "doc_id",
             "source",
@@ -174,10 +213,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PA
         ),
         "sizes",
     )
-    ends = cutoffs(spark, sizes, weights, share, passes).withColumnRenamed("source", "of")
-    copies = F.when(F.col("size") > 0, _copies(F.col("key"), passes)).otherwise(F.lit(0))
-    return sizes.join(ends, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken")
+    ends = cutoffs(docs.sparkSession, sizes, weights, share, passes).withColumnRenamed("source", "source_")
+    rows = sizes.select("doc_id", "size", "key", F.col("source").alias("of"), (F.col("size") > 0).alias("taking"))
+    return _with_copies(rows, ends, passes, work).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
@@ -188,20 +227,18 @@ def mixed_documents(
 
     Documents without words are never taken.
     """
-    spark = docs.sparkSession
+    work = Workspace(docs.sparkSession, "sizes")
     key, size = shuffle_key(F.col("doc_id"), F.col("text")), size_of(F.col("text"))
-    sizes = Workspace(spark, "sizes").save(
-        docs.select("source", size.alias("size"), key.alias("key")), "sizes"
+    sizes = work.save(docs.select("source", size.alias("size"), key.alias("key")), "sizes")
+    ends = cutoffs(docs.sparkSession, sizes, weights, share, passes).withColumnRenamed("source", "source_")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("source").alias("of"),
+        key.alias("key"),
+        F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("taking"),
     )
-    ends = cutoffs(spark, sizes, weights, share, passes)
-    ends = ends.select(F.col("source").alias("of"), *(f"last_key_{p}" for p in range(passes)))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    found = rows.join(ends, F.col("row.source").eqNullSafe(F.col("of")))
-    copies = F.when(
-        size_of(F.col("row.text")) > 0,
-        _copies(shuffle_key(F.col("row.doc_id"), F.col("row.text")), passes),
-    ).otherwise(F.lit(0))
-    return found.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")
+    found = _with_copies(rows, ends, passes, work)
+    return found.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,10 +246,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = r"""
-WITH d AS (
+WITH x AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS key
   FROM documents),
+d AS (SELECT *, row_number() OVER (PARTITION BY source, key) AS number FROM x),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1)::INT AS source_rank
@@ -231,18 +269,18 @@ t AS (
          CASE WHEN cap / weight <= level THEN cap
               ELSE max(CASE WHEN cap / weight > level THEN level END) OVER () * weight END AS target
   FROM l),
-k AS (SELECT source, key, sum(size) AS size FROM d WHERE size > 0 GROUP BY ALL),
-c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key) AS running FROM k),
+c AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, number) AS running FROM d WHERE size > 0),
 i AS (
-  SELECT t.source_rank, c.key, p.pass, c.size, c.source,
+  SELECT t.source_rank, c.key, c.number, p.pass, c.size, c.source,
          (p.pass * t.source_size + c.running)::DOUBLE / t.target AS finish
   FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1)) p(pass)),
-r AS (SELECT *, sum(size) OVER (ORDER BY finish, source_rank, pass, key) AS total FROM i),
+r AS (SELECT *, sum(size) OVER (ORDER BY finish, source_rank, pass, key, number) AS total FROM i),
 n AS (
-  SELECT source, key, count(*) AS copies FROM r
+  SELECT source, key, number, count(*) AS copies FROM r
   WHERE total <= 1.5 * (SELECT sum(size) FROM d) GROUP BY ALL)
 SELECT d.doc_id, d.size, t.source_size, t.target,
        (CASE WHEN d.size > 0 THEN d.size * coalesce(n.copies, 0) ELSE 0 END)::BIGINT AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-LEFT JOIN n ON n.key = d.key AND n.source IS NOT DISTINCT FROM d.source
+LEFT JOIN n ON n.key = d.key AND n.number = d.number AND n.source IS NOT DISTINCT FROM d.source
 """

@@ -97,6 +97,33 @@ def test_targets_and_taken_words(spark, documents):
     assert sorted(map(str, rows)) == sorted(map(str, fair_mixing.mix(documents.repartition(7)).collect()))
 
 
+@pytest.mark.parametrize("many", [50, 4096])
+def test_a_third_of_a_source_repeated(spark, tmp_path, monkeypatch, many):
+    """Equal rows are documents of their own: the target is met, and equals SQL."""
+    monkeypatch.setattr(fair_mixing, "MANY", many)
+    text = " ".join(["word"] * 100)
+    rows = [(i, f"{text} {i}", "a") for i in range(300)] + [(1000 + i, f"{text} {i}", "b") for i in range(600)]
+    rows += [(5000, f"{text} x", "b")] * 300 + [(None, f"{text} y", None)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = fair_mixing.mix(docs).collect()
+    taken, goal = {}, {}
+    for r in found:
+        taken[r.target] = taken.get(r.target, 0) + r.taken
+        assert r.taken in (0, r.size, 2 * r.size)
+    assert sum(taken.values()) <= 1.5 * sum(r.size for r in found)
+    for target, words in taken.items():
+        assert abs(words - target) <= 2 * 101
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = con.execute(fair_mixing.SQL).fetchall()
+    names = [c[0] for c in con.description]
+    assert sorted(map(str, (tuple(r[c] for c in names) for r in found))) == sorted(map(str, wanted))
+    mixed = fair_mixing.mixed_documents(docs)
+    assert mixed.count() == sum(r.taken // r.size for r in found)
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, fair_mixing.mixed_documents(docs.repartition(5)).collect()))
+
+
 def test_mix_of_odd_rows(odd, empty):
     rows = fair_mixing.mix(odd).collect()
     assert len(rows) == odd.count()
