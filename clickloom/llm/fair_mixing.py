@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.slices import ordered
+from clickloom.llm.slices import counted_out, ordered
 from clickloom.llm.workspace import Workspace
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,8 +20,6 @@ SHARE = 1.5
 PASSES = 2
 #: Ranges of shuffle keys within a source, and of finish times among all documents.
 RANGES = 4096
-#: Equal rows above which those of one key are dealt to several tasks.
-MANY = 4096
 #: The order in which rows leave the queue.
 ORDER = ("finish", "source_rank", "pass", "key", "number")
 
@@ -101,13 +99,8 @@ def _finish_times(sizes: DataFrame, goals: DataFrame, passes: int) -> DataFrame:
     running = F.sum("words").over(Window.partitionBy("source", "range").orderBy("key"))
     placed = keyed.withColumn("behind", running - F.col("words"))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("at")))
-    few = placed.filter(F.col("n") <= MANY).withColumn("number", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    parts = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / MANY))
-    part = placed.filter(F.col("n") > MANY).withColumn("part", F.explode(parts)).repartition("source", "key", "part")
-    last = F.least(F.col("n"), (F.col("part") + 1) * MANY)
-    many = part.withColumn("number", F.explode(F.sequence(F.col("part") * MANY + 1, last))).drop("part")
     done = F.col("pass") * F.col("source_size") + F.col("before") + F.col("behind") + F.col("number") * F.col("size")
-    rows = few.unionByName(many).withColumn("pass", F.explode(F.array(*map(F.lit, range(passes)))))
+    rows = counted_out(placed, "source", "key").withColumn("pass", F.explode(F.array(*map(F.lit, range(passes)))))
     return rows.select("source_rank", "key", "number", "pass", "size", (done / F.col("target")).alias("finish"))
 
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.slices import counted_out
 from clickloom.llm.tokens import encoder
 from clickloom.llm.workspace import Workspace
 
@@ -70,11 +71,12 @@ def _pieces(batches, tokenizer: str, capacity: int, end_id: int):
 
 
 def _pack_group(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    pieces = pieces.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
+    order = ["doc_id", "start", "ids_crc32", "length", "doc_tokens", "number"]
+    pieces = pieces.sort_values(order, kind="stable", ignore_index=True)
     bins, offsets = first_fit_decreasing(pieces["length"].to_numpy(), capacity)
     pieces["sequence_id"] = (pieces["group"].to_numpy() << 32) + bins
     pieces["offset"] = offsets
-    return pieces.drop(columns="group")
+    return pieces.drop(columns=["group", "number"])
 
 
 def pack(
@@ -88,8 +90,11 @@ def pack(
 
     A null text is empty, and an empty text is its end id; a null doc_id stays null;
     repeated rows are documents of their own; no rows give no rows. Other columns are
-    ignored. Sequence ids are unique and not contiguous. Pieces get their group from
-    their place in a written table, so rows with one doc_id spread like any others.
+    ignored. Sequence ids are unique and not contiguous.
+
+    Groups are of pieces. A piece's group is a hash of the piece and of its number among
+    equal ones, which are counted, so rows with one doc_id, and equal ones, spread like
+    any others, and the result does not depend on how rows are partitioned.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "packing")
@@ -98,9 +103,11 @@ def pack(
         rows.mapInArrow(lambda batches: _pieces(batches, tokenizer, capacity, end_id), PIECES), "pieces"
     )
     groups = max(1, -(-pieces.count() // group_pieces))
-    place = F.xxhash64(F.input_file_name(), F.monotonically_increasing_id())
-    dealt = work.save(pieces.withColumn("group", F.pmod(place, F.lit(groups))), "groups")
-    return dealt.groupBy("group").applyInPandas(
+    columns = pieces.columns
+    counted = pieces.groupBy(*columns).agg(F.count("*").alias("n"))
+    place = F.xxhash64(*columns, F.col("number").cast("long"))
+    dealt = counted_out(counted, *columns).withColumn("group", F.pmod(place, F.lit(groups)))
+    return dealt.select(*columns, "number", "group").groupBy("group").applyInPandas(
         lambda group: _pack_group(group, capacity), f"{PIECES}, sequence_id long, offset long"
     )
 

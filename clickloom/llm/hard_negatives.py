@@ -58,7 +58,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def _codebooks(classes: DataFrame) -> dict[int, tuple]:
     """Codebooks of every length of vectors, from a bounded sample."""
-    sample = by_hash(classes, SAMPLE, "id").select("dim", "parts").toPandas()
+    sample = by_hash(classes, SAMPLE, "label", "parts").select("dim", "parts").toPandas()
     return {int(dim): multi_index.fit_codebooks(np.stack(rows.to_numpy())) for dim, rows in sample.groupby("dim")["parts"]}
 
 

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm import neighbour_router
+from clickloom.llm.sampling import by_hash
 from clickloom.llm.workspace import Workspace
 
 NEAREST = 20
-#: The router is fitted to the distinct vectors with the least hashes.
+#: The router is fitted to about so many distinct vectors, chosen by hash.
 SAMPLE = 8192
 #: Recall on left-out sample vectors that sets the number of parts a query searches.
 RECALL = 0.95
@@ -90,23 +91,25 @@ def search(vectors: DataFrame, is_query, nearest: int = NEAREST, recall: float =
     ``is_query`` is a condition on vec_id. Rows without an id, and vectors null, zero or
     with null or non-finite components, take no part, nor do vectors of another length
     than the most common one. Equal vectors are indexed once, with the least ids that a
-    result can hold; rows equal in id and vector count once. A query without other
+    result can hold; rows equal in id and vector count once. Rows with one id and different
+    vectors are queries of their own, and no candidates for each other. A query without other
     candidates has no rows, as has an empty table. Other columns are ignored.
     """
     spark = vectors.sparkSession
     work = Workspace(spark, "partitions")
-    rows = work.save(_valid(vectors).withColumn("id", F.xxhash64("embedding")), "rows")
+    rows = work.save(_valid(vectors), "rows")
     lists = nearest + 1
-    first = Window.partitionBy("id").orderBy("vec_id")
+    first = Window.partitionBy("embedding").orderBy("vec_id")
     classes = work.save(
         rows.distinct()
         .withColumn("place", F.row_number().over(first))
         .filter(F.col("place") <= lists)
-        .groupBy("id")
-        .agg(F.first("embedding").alias("embedding"), F.sort_array(F.collect_list("vec_id")).alias("members")),
+        .groupBy("embedding")
+        .agg(F.sort_array(F.collect_list("vec_id")).alias("members"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    sample = classes.select("id", "embedding").orderBy("id").limit(SAMPLE).toArrow()
+    sample = by_hash(classes, SAMPLE, "embedding").select("embedding").orderBy(F.xxhash64("embedding")).toArrow()
     if not sample.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     router = neighbour_router.fit(_matrix(sample.column("embedding")).astype(np.float32), recall)
@@ -115,10 +118,10 @@ def search(vectors: DataFrame, is_query, nearest: int = NEAREST, recall: float =
     index = work.save(homes.join(classes.select("id", "members"), "id"), "index")
     sizes = {row.part: row["count"] for row in index.groupBy("part").count().collect()}  # a row per part
     counts = np.array([sizes.get(part, 0) for part in range(router.layers[-1].size)])
-    asked = rows.filter(is_query)
+    asked = work.save(rows.filter(is_query).distinct().join(classes.select("embedding", "id"), "embedding"), "asked")
     routed = work.save(
-        asked.groupBy("id")
-        .agg(F.first("embedding").alias("embedding"))
+        asked.select("id", "embedding")
+        .dropDuplicates(["id"])
         .mapInArrow(lambda b: _routed(b, router, router.probes, counts), kind),
         "queries",
     )
@@ -142,7 +145,7 @@ def search(vectors: DataFrame, is_query, nearest: int = NEAREST, recall: float =
     top = compared.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= lists)
     entry = F.struct("place", "vec_id", "score")
     lists_ = top.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("near"))
-    queries = asked.select(F.col("vec_id").alias("query_id"), "id").distinct()
+    queries = asked.select(F.col("vec_id").alias("query_id"), "id")
     others = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
     return (
         queries.join(work.save(lists_, "nearest"), "id")

@@ -358,10 +358,8 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     first = F.min(F.struct("doc_id", "at")).alias("first")
     heads = known.groupBy("key").agg(F.count("*").alias("copies"), first)
     one = known.dropDuplicates(["key"]).select("key", "size", "nodes", "sign")
-    identity = F.xxhash64("key").alias("id")
-    classes = work.save(
-        heads.join(one, "key").select(identity, "key", "copies", "first", "size", "nodes", "sign"), "classes"
-    )
+    found = heads.join(one, "key").select("key", "copies", "first", "size", "nodes", "sign")
+    classes = work.save(found.withColumn("id", F.monotonically_increasing_id()), "classes")
     groups = work.save(components(work, _candidate_edges(classes, work, least), "candidate"), "groups")
     verified = _verify(hashed, classes, groups, work, words, similarity)
     labels = work.save(components(work, verified.select("a", "b"), "linked"), "linked")
@@ -401,7 +399,8 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) ->
 def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The document with the least id of every class, all columns.
 
-    Rows equal in id and text are one document; documents without words all stay.
+    Rows equal in id and text are one document, and which of them stays follows from all
+    columns; documents without words all stay.
     """
     sketch, per_class = _linked(docs, words, similarity)
     of = F.coalesce(F.col("label").cast("string"), F.concat_ws("/", F.lit("none"), "doc_id", "at"))
@@ -418,7 +417,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = docs.select(row, *named(F.col("doc_id"), F.xxhash64("text")))
     kept = rows.join(chosen.hint("merge"), keys, "left_semi")
-    return kept.dropDuplicates(keys).select("row.*")
+    return kept.groupBy(*keys).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -221,8 +221,8 @@ def _pairs_of_lists(classes: DataFrame, work: Workspace, similarity: float) -> D
     count = classes.count()
     wanted = max(math.ceil(PIVOTS * math.sqrt(count)), 16)
     # bounded: about 4 * sqrt(rows) vectors, 130,000 of 10^9
-    chosen = by_hash(classes, wanted, "id").select("dim", "embedding").toPandas()
-    tried = by_hash(classes, PLANTED, "id", seed=1).select("dim", "embedding").toPandas()
+    chosen = by_hash(classes, wanted, "label", "embedding").select("dim", "embedding").toPandas()
+    tried = by_hash(classes, PLANTED, "label", "embedding", seed=1).select("dim", "embedding").toPandas()
     of_length = lambda found: found.groupby("dim")["embedding"]
     sampled = {int(d): _unit(np.stack(g.to_numpy()).astype(float)) for d, g in of_length(tried)}
     pivots = {int(d): spread(_unit(np.stack(g.to_numpy()).astype(float)), similarity) for d, g in of_length(chosen)}

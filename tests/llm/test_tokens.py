@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from clickloom.llm import ffd_packing, token_store
+from clickloom.llm import ffd_packing, slices, token_store
 from clickloom.llm.tokens import encoder
 from clickloom.llm.workspace import Workspace
 
@@ -109,3 +109,14 @@ def test_packing(which, request):
         assert [offset for offset, _ in pieces] == [0, *ends[:-1].tolist()] and ends[-1] <= 2048
     if which == "documents":
         assert sum(r.length for r in rows) / (2048 * len(sequences)) > 0.95
+    again = ffd_packing.pack(docs.repartition(5), group_pieces=64).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
+def test_equal_pieces_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(slices, "MANY", 100)
+    docs = spark.range(3000).selectExpr("IF(id % 3 = 0, 1, id) AS doc_id", "IF(id % 3 = 0, 'the same', 'word ' || id) AS text")
+    rows = ffd_packing.pack(docs, group_pieces=256).collect()
+    assert len(rows) == 3000
+    groups = Counter(r.sequence_id >> 32 for r in rows if r.doc_id == 1)
+    assert len(groups) == 12 and max(groups.values()) < 200
