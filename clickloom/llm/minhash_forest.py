@@ -1,12 +1,15 @@
-"""N-gram Jaccard join: a MinHash LSH forest cut at one prefix length, then verification.
+"""N-gram Jaccard join: a MinHash LSH forest of sorted prefix tries, then verification.
 
 1. Texts with equal sets of word shingles are one class; all else is done per class.
-2. A class has one label of MinHash values in each of several prefix tries. The threshold
-   is fixed, so one prefix length serves all classes: the longest at which a pair at the
-   least similarity is found with the target recall. The forest is thereby reduced to LSH
-   banding; tries are not sorted or descended. Classes that share a prefix are candidates.
-3. Within a node, pairs that the whole signatures rule out are dropped. What remains is
-   kept as spanning edges, not as pairs, and connected into candidate groups.
+2. A class has one label of MinHash values in each of several prefix tries. Classes that
+   share the shortest prefix of the search stand together, sorted by the rest of their
+   labels. The shortest prefix is the longest at which a pair at the least similarity is
+   found with the target recall.
+3. A class is matched at its whole label first. Its matched prefix is then shortened value
+   by value, as long as the shorter prefix adds classes that it is not yet connected with
+   and down to the shortest one. Pairs that the whole signatures rule out are dropped;
+   the others are kept as spanning edges, not as pairs, and connected into candidate
+   groups.
 4. In a group, every pair is verified on its whole shingle sets. Counts of links and
    spanning edges of the verified links leave the task, again no pairs.
 
@@ -45,7 +48,7 @@ _ODD = np.random.default_rng(5).integers(0, 2**63, TREES * LABEL, np.uint64) * n
 
 
 def prefix_length(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
-    """The longest prefix of a label, one for all classes, that reaches the recall."""
+    """The longest prefix of a label that reaches the recall; none is shortened further."""
     for length in range(LABEL, 0, -1):
         if 1 - (1 - similarity**length) ** TREES >= recall:
             return length
@@ -98,25 +101,32 @@ def nodes_of(values: np.ndarray, length: int) -> np.ndarray:
     return at.view(np.int64)
 
 
+def rests_of(values: np.ndarray, length: int) -> np.ndarray:
+    """The values of each tree's label behind the prefix: (trees, LABEL - length)."""
+    return values.reshape(TREES, LABEL)[:, length:]
+
+
 def class_key(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def _sketch(batches, words: int, length: int):
     for batch in portions(batches):
-        keys, sizes, nodes, signs = [], [], [], []
+        keys, sizes, nodes, rests, signs = [], [], [], [], []
         for text in batch.column("text").to_pylist():
             found = shingles(text, words)
             sizes.append(len(found))
             keys.append(class_key(found) if len(found) else None)
             values = signature(found)
             nodes.append(nodes_of(values, length).tolist() if len(found) else [])
+            rest = rests_of(values, length).astype(">u4")
+            rests.append([row.tobytes() for row in rest] if len(found) else [])
             signs.append(values.astype(np.uint8).tobytes())
-        types = [pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
-        made = [pa.array(v, t) for v, t in zip((keys, sizes, nodes, signs), types)]
+        types = [pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary()]
+        made = [pa.array(v, t) for v, t in zip((keys, sizes, nodes, rests, signs), types)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("at"), *made],
-            names=["doc_id", "at", "key", "size", "nodes", "sign"],
+            names=["doc_id", "at", "key", "size", "nodes", "rests", "sign"],
         )
 
 
@@ -166,6 +176,38 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int
     return [(i, find(i)) for i in range(n) if find(i) != i]
 
 
+def descend(rests: np.ndarray, signs: np.ndarray, sides: np.ndarray | None, least: int) -> list[tuple[int, int, int]]:
+    """Spanning edges (i, j, values) between the classes of a node that may be similar.
+
+    ``rests`` has the values of the labels behind the node's prefix, a row for each class,
+    sorted. Classes are matched at whole labels, then at ever shorter ones; ``values`` is
+    the number behind the prefix at which an edge was found. Classes that are connected
+    already are not compared again, so a class whose company is all connected with it
+    is not shortened further. With ``sides`` only classes of different sides are compared.
+    """
+    n, width = rests.shape
+    part = np.arange(n)
+    edges = []
+    for values in range(width, -1, -1):
+        borders = _borders([rests[:, v] for v in range(values)]) if values else np.array([0, n])
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+            if b - a < 2 or (part[a:b] == part[a]).all():
+                continue
+            for i in range(a, b - 1):
+                apart = part[i + 1 : b] != part[i]
+                if sides is not None:
+                    apart &= sides[i + 1 : b] != sides[i]
+                others = np.flatnonzero(apart) + i + 1
+                if not len(others):
+                    continue
+                near = others[(signs[others] == signs[i]).sum(axis=1) >= least]
+                for j in near.tolist():
+                    if part[i] != part[j]:
+                        edges.append((i, j, values))
+                        part[part == part[j]] = part[i]
+    return edges
+
+
 def _likely(table_runs, least: int):
     """Spanning edges between classes of a node whose signatures may be similar."""
     for table in table_runs:
@@ -174,22 +216,14 @@ def _likely(table_runs, least: int):
         node, pair, own, other, ids = (table.column(i).to_numpy() for i in range(5))
         signs = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8)
         signs = signs.reshape(len(ids), -1)
+        rests = np.frombuffer(b"".join(table.column(6).to_pylist()), ">u4")
+        rests = rests.reshape(len(ids), len(rests) // len(ids))
         edges = []
         borders = _borders([node, pair])
         for a, b in zip(borders[:-1], borders[1:]):
-            side, group = own[a:b], signs[a:b]
-            left, right = [], []
-            for i in range(b - a - 1):
-                rest = slice(i + 1, b - a)
-                agree = (group[rest] == group[i]).sum(axis=1) >= least
-                if own[a] != other[a]:
-                    agree &= side[rest] != side[i]
-                near = np.flatnonzero(agree) + i + 1
-                left.append(np.full(len(near), i))
-                right.append(near)
-            if left:
-                found = spanning(b - a, np.concatenate(left), np.concatenate(right))
-                edges += [(int(ids[a + i]), int(ids[a + j])) for i, j in found]
+            sides = own[a:b] if own[a] != other[a] else None
+            found = descend(rests[a:b], signs[a:b], sides, least)
+            edges += [(int(ids[a + i]), int(ids[a + j])) for i, j, _ in found]
         names = ["a", "b"]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, pa.int64()) for c in (zip(*edges) if edges else ((), ()))], names=names
@@ -210,14 +244,15 @@ def _block_pairs(rows: DataFrame, group: str, count: str) -> DataFrame:
 
 def _candidate_edges(classes: DataFrame, work: Workspace, least: int) -> DataFrame:
     """Edges (a, b) that connect all classes which may be similar."""
-    placed = classes.select("id", F.explode("nodes").alias("node"))
+    at = F.explode(F.arrays_zip("nodes", "rests")).alias("at")
+    placed = classes.select("id", at).select("id", F.col("at.nodes").alias("node"), F.col("at.rests").alias("rest"))
     crowded = placed.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
     members = work.save(placed.join(crowded, "node"), "members")
     signed = members.join(classes.select("id", "sign"), "id")
     paired = _block_pairs(signed, "node", "members").select(
-        "node", "pair", "own", "other", "id", "sign"
+        "node", "pair", "own", "other", "id", "sign", "rest"
     )
-    sorted_ = paired.repartition("node", "pair").sortWithinPartitions("node", "pair", "own", "id")
+    sorted_ = paired.repartition("node", "pair").sortWithinPartitions("node", "pair", "rest", "id")
     return sorted_.mapInArrow(lambda batches: _likely(_runs(batches, 2), least), "a long, b long")
 
 
@@ -351,14 +386,14 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     work = Workspace(docs.sparkSession, "forest")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     length, least = prefix_length(similarity), least_agreeing(similarity)
-    kind = "doc_id long, at long, key binary, size int, nodes array<long>, sign binary"
+    kind = "doc_id long, at long, key binary, size int, nodes array<long>, rests array<binary>, sign binary"
     hashed = rows.select("doc_id", "text", F.xxhash64("text").alias("at"))
     sketch = work.save(hashed.mapInArrow(lambda b: _sketch(b, words, length), kind), "sketch")
     known = sketch.filter("key IS NOT NULL")
     first = F.min(F.struct("doc_id", "at")).alias("first")
     heads = known.groupBy("key").agg(F.count("*").alias("copies"), first)
-    one = known.dropDuplicates(["key"]).select("key", "size", "nodes", "sign")
-    found = heads.join(one, "key").select("key", "copies", "first", "size", "nodes", "sign")
+    one = known.dropDuplicates(["key"]).select("key", "size", "nodes", "rests", "sign")
+    found = heads.join(one, "key").select("key", "copies", "first", "size", "nodes", "rests", "sign")
     classes = work.save(found.withColumn("id", F.monotonically_increasing_id()), "classes")
     groups = work.save(components(work, _candidate_edges(classes, work, least), "candidate"), "groups")
     verified = _verify(hashed, classes, groups, work, words, similarity)

@@ -72,7 +72,7 @@ def test_join_of_a_group_of_near_copies(spark, monkeypatch):
     assert sorted(found) == sorted(brute(rows))
 
 
-@pytest.mark.parametrize("similarity", [0.5, 0.6])
+@pytest.mark.parametrize("similarity", [0.95, 0.5, 0.6])
 def test_join_of_less_similar_pairs(spark, similarity):
     # pairs of 104 runs each that share just as many as the similarity asks
     shared = {0.5: 70, 0.6: 78}[similarity]
@@ -112,6 +112,33 @@ def test_join_of_odd_rows(odd, empty):
     assert minhash_forest.join(empty).count() == 0 and minhash_forest.keep_one(empty).count() == 0
 
 
+def test_prefixes_shorten_where_they_add_company():
+    """Edges at the longest prefix that pairs share; the parts are those of all pairs."""
+    draw = np.random.default_rng(3)
+    for _ in range(30):
+        n = int(draw.integers(2, 60))
+        rests = draw.integers(0, 3, (n, 2)).astype(">u4")
+        rests = rests[np.lexsort((rests[:, 1], rests[:, 0]))]
+        signs = draw.integers(0, 2, (n, 40)).astype(np.uint8)
+        signs[: n // 2] = signs[0]
+        signs[: n // 2, :4] = draw.integers(0, 2, (n // 2, 4))
+        sides = draw.integers(0, 2, n) if n % 2 else None
+        edges = minhash_forest.descend(rests, signs, sides, 30)
+        left, right = np.nonzero(np.triu((signs[:, None] == signs[None]).sum(axis=2) >= 30, 1))
+        if sides is not None:
+            left, right = (x[sides[left] != sides[right]] for x in (left, right))
+        parts = lambda l, r: sorted(minhash_forest.spanning(n, l, r))
+        given = np.array([e[:2] for e in edges], int).reshape(-1, 2)
+        assert parts(given[:, 0], given[:, 1]) == parts(left, right)
+        assert len(edges) == len(parts(left, right))  # nothing connected is compared again
+        for i, j, values in edges:
+            assert (rests[i, :values] == rests[j, :values]).all()
+    same = np.zeros((6, 5), np.uint8)
+    rests = np.array([[1, 1], [1, 1], [1, 2], [1, 2], [2, 5], [3, 5]], ">u4")
+    # whole labels first, one value less for what is apart then, and the node's prefix last
+    assert [values for _, _, values in minhash_forest.descend(rests, same, None, 5)] == [2, 2, 1, 0, 0]
+
+
 def test_prefix_is_shortened_to_the_recall():
     length = minhash_forest.prefix_length()
     assert 1 - (1 - 0.8**length) ** minhash_forest.TREES >= minhash_forest.RECALL
@@ -175,6 +202,37 @@ def test_search_recall_with_all_parts(spark, monkeypatch):
     assert recall >= 0.93
 
 
+@pytest.mark.parametrize("rows_, noise, most", [(6000, 0.25, 0.35), (12_000, 0.25, 0.25), (6000, None, 0.95)])
+def test_large_parts_are_cut_again(spark, monkeypatch, rows_, noise, most):
+    """Two levels at small sizes: recall, and the share of candidates that queries read.
+
+    ``noise`` around 60 centres; None: vectors without clusters.
+    """
+    monkeypatch.setattr(learned_partitions, "SAMPLE", 2048)
+    monkeypatch.setattr(learned_partitions, "LEAF", 600)
+    draw = np.random.default_rng(5)
+    vectors = draw.standard_normal((rows_, 32))
+    if noise:
+        centres = draw.standard_normal((60, 32))
+        vectors = centres[draw.integers(0, 60, rows_)] + noise * vectors
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    trees, tree = [], learned_partitions._tree
+    monkeypatch.setattr(learned_partitions, "_tree", lambda *given: trees.append(tree(*given)) or trees[-1])
+    rows = list(enumerate(vectors.tolist()))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = defaultdict(set)
+    for r in learned_partitions.search(table, F.col("vec_id") % 20 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    truth = exact(rows, 20)
+    recall = sum(len(found[q] & set(near)) for q, near in truth.items()) / sum(map(len, truth.values()))
+    (routers, sizes), = trees
+    assert len(routers) > 1 and sum(sizes.values()) == rows_
+    _, leaves = learned_partitions.routes(vectors[::20].astype(float), routers, learned_partitions._totals(sizes))
+    read = sum(sizes.get(int(leaf), 0) for leaf in leaves) / (len(truth) * rows_)
+    print(f"{rows_} rows, noise {noise}: recall {recall:.3f}, {len(sizes)} leaves, {read:.3f} of candidates read")
+    assert recall >= 0.9 and read <= most
+
+
 def test_search_of_odd_vectors(spark):
     same = [0.5, 0.5, 0.0]
     rows = [(i, same) for i in range(0, 60)] + [(100, [1.0, 0.0, 0.0]), (120, [0.0, 0.0, 0.0]), (140, None)]
