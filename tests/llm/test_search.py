@@ -75,7 +75,7 @@ def test_join_of_a_group_of_near_copies(spark, monkeypatch):
 @pytest.mark.parametrize("similarity", [0.95, 0.5, 0.6])
 def test_join_of_less_similar_pairs(spark, similarity):
     # pairs of 104 runs each that share just as many as the similarity asks
-    shared = {0.5: 70, 0.6: 78}[similarity]
+    shared = {0.5: 70, 0.6: 78, 0.95: 102}[similarity]
     rows = []
     for i in range(40):
         common = [f"c{i}v{j}" for j in range(shared + 4)]
