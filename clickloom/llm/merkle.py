@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.slices import ranged
+from clickloom.llm.slices import last_at_most, one_task_a_slice, ordered
 from clickloom.llm.workspace import Workspace
 
 #: Code points of a line above which it is cut, behind sentences where it has any. All
@@ -159,72 +159,47 @@ COLUMNS = (
 )
 
 
-_FOUND = f"{COLUMNS}, slice int, first boolean, text string"
-
-
-def _result(one, following) -> tuple:
-    """The columns of a row (doc_id, text, fingerprint) and the one behind it."""
-    changed = edited(one[1], following[1])
-    mark = fingerprint(changed)
-    digest = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-    return (one[0], len(one[1]), digest, one[2], mark, likeness(one[2], mark), likeness(one[2], following[2]))
-
-
 def _compare(rows):
-    """Results of rows (slice, doc_id, text) in order, and a slice's first and last row."""
-    before, at = None, None
-    nothing = (None,) * 6
-
-    def border(row, first):
-        return (row[0], *nothing, at, first, row[1])
-
-    for part, doc_id, text in rows:
+    """Result columns for rows of (own, doc_id, text) in order; the last row is a guest."""
+    before = None
+    for own, doc_id, text in rows:
         text = text or ""
-        now = (doc_id, text, fingerprint(text))
-        if part != at:
-            if before is not None:
-                yield border(before, False)
-            at = part
-            yield border(now, True)
-        else:
-            yield (*_result(before, now), None, None, None)
+        now = (own, doc_id, text, fingerprint(text))
+        if before is not None and before[0]:
+            changed = edited(before[2], text)
+            mark = fingerprint(changed)
+            yield (
+                before[1],
+                len(before[2]),
+                hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
+                before[3],
+                mark,
+                likeness(before[3], mark),
+                likeness(before[3], now[3]),
+            )
         before = now
-    if before is not None:
-        yield border(before, False)
-
-
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
-
-
-def _batch(rows: list, kind: str) -> pa.RecordBatch:
-    names, kinds = zip(*(c.split() for c in kind.split(", ")))
-    arrays = [pa.array(c, _TYPES[k]) for c, k in zip(zip(*rows), kinds)]
-    return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
 def _in_batches(batches, size: int = 256):
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(i).to_pylist() for i in range(3)))
+            yield from zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))
 
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = [c.split()[0] for c in COLUMNS.split(", ")]
     done = []
+
+    def batch():
+        columns = zip(*done)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
     for row in _compare(rows()):
         done.append(row)
         if len(done) == size:
-            yield _batch(done, _FOUND)
+            yield batch()
             done = []
     if done:
-        yield _batch(done, _FOUND)
-
-
-def _borders(batches):
-    for batch in batches:
-        found = []
-        for row in batch.to_pylist():
-            one, following = ((row[i], row[t], fingerprint(row[t])) for i, t in (("doc_id", "text"), ("id_", "text_")))
-            found.append(_result(one, following))
-        if found:
-            yield _batch(found, COLUMNS)
+        yield batch()
 
 
 def fingerprints(docs: DataFrame, slices: int | None = None) -> DataFrame:
@@ -233,24 +208,32 @@ def fingerprints(docs: DataFrame, slices: int | None = None) -> DataFrame:
     The next document is the next row by doc_id, null first, ties by a hash of the text;
     the last row is followed by the first; a single row follows itself. A null text is
     empty; an empty table gives no rows; other columns are ignored. Each task goes
-    through one slice of the order and holds two texts; rows with one doc_id spread over
-    slices like any others. What spans two slices, their border rows, is compared after.
+    through one slice of the order and holds two texts; the first row of a slice also
+    goes to the slice before it as a guest. Rows with one doc_id spread over slices;
+    rows equal in id and text share one.
     """
-    work = Workspace(docs.sparkSession, "merkle")
-    rows = ranged(docs.select("doc_id", "text"), slices, "doc_id", F.xxhash64("text"), F.monotonically_increasing_id())
-    found = work.save(rows.select("slice", "doc_id", "text").mapInArrow(_in_batches, _FOUND), "found")
-    border = found.filter("slice IS NOT NULL")
-    # numbers of slices only, one for each task
-    numbers = sorted(row["slice"] for row in border.filter("first").select("slice").collect())
-    follows = docs.sparkSession.createDataFrame(
-        list(zip(numbers, [*numbers[1:], *numbers[:1]])), "slice int, following int"
+    spark = docs.sparkSession
+    work = Workspace(spark, "merkle")
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash")).alias("key"), "text")
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ordered(work, rows.select("key"), "keys", "key", slices=slices)
+    firsts = keys.groupBy("slice").agg(F.min("key").alias("key")).orderBy("slice").collect()  # a row for each slice
+    bounds = F.array(*(F.struct(F.lit(r.key.id).cast("long").alias("id"), F.lit(r.key.hash).alias("hash")) for r in firsts))
+    if not firsts:
+        bounds = F.array(F.struct(F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("hash")))
+    placed = rows.withColumn("slice", last_at_most(bounds, len(firsts), F.col("key")))
+    opens = F.get(bounds, F.col("slice")) == F.col("key")
+    guest = F.when(opens, F.pmod(F.col("slice") - 1, F.lit(max(len(firsts), 1))))
+    places = F.array(
+        F.struct(F.lit(True).alias("own"), F.col("slice")), F.struct(F.lit(False).alias("own"), guest.alias("slice"))
     )
-    firsts = border.filter("first").select(
-        F.col("slice").alias("following"), F.col("doc_id").alias("id_"), F.col("text").alias("text_")
+    dealt = (
+        placed.withColumn("place", F.explode(places))
+        .filter("place.slice IS NOT NULL")
+        .select("place.slice", "place.own", "key", "text")
     )
-    pairs = border.filter("NOT first").select("slice", "doc_id", "text").join(follows, "slice").join(firsts, "following")
-    between = pairs.select("doc_id", "text", "id_", "text_").mapInArrow(_borders, COLUMNS)
-    return found.filter("slice IS NULL").select(*between.columns).unionAll(between)
+    sorted_ = one_task_a_slice(dealt, max(len(firsts), 1), F.desc("own"), "key")
+    return sorted_.select("slice", "own", "key.id", "text").mapInArrow(_in_batches, COLUMNS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

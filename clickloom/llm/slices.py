@@ -50,6 +50,27 @@ def counted_out(df: DataFrame, *keys: str) -> DataFrame:
     return few.unionByName(many.select(*few.columns))
 
 
+def last_at_most(bounds: Column, count: int, value: Column) -> Column:
+    """The place of the last of ``count`` ascending bounds that is not above a value.
+
+    A binary search: its cost grows with the logarithm of the number of bounds. Values
+    below the first bound are at 0.
+    """
+    start = F.struct(F.lit(0).alias("low"), F.lit(max(count, 1)).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        below = F.get(bounds, middle) <= value
+        return F.when(
+            at["high"] - at["low"] <= 1, at
+        ).otherwise(
+            F.struct(F.when(below, middle).otherwise(at["low"]).alias("low"), F.when(below, at["high"]).otherwise(middle).alias("high"))
+        )
+
+    steps = F.array_repeat(F.lit(0), max(count, 1).bit_length())
+    return F.aggregate(steps, start, halve)["low"]
+
+
 def count_slices(table: DataFrame) -> int:
     """How many slices a written table of :func:`ordered` has."""
     return (table.agg(F.max("slice")).first()[0] or 0) + 1
