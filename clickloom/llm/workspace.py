@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; the session's warehouse folder where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """``spark.checkpoint.dir``, or in a local session without one the warehouse folder.
+
+    On a cluster the warehouse may be a folder of each machine, so there the setting is
+    required.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder or spark.conf.get("spark.sql.warehouse.dir")
 
 
 _shipped: set[str] = set()

@@ -100,5 +100,51 @@ def test_shards_are_balanced_and_split_hot_groups(spark):
     assert sum(len(shards) > 1 for shards in of.values()) == 1
 
 
+def test_placement_equals_a_plain_loop():
+    draw = np.random.default_rng(6)
+    for _ in range(20):
+        demands = draw.random((int(draw.integers(1, 80)), 3)) / 40
+        residual = np.full((5, 3), 0.2)
+        left, expected = residual.tolist(), {}
+        for i in sorted(range(len(demands)), key=lambda i: (-max(demands[i]), i)):
+            dots = [sum(float(a) * b for a, b in zip(demands[i], room)) for room in left]
+            expected[i] = max(range(5), key=lambda b: (round(dots[b], 12), -b))
+            left[expected[i]] = [b - float(a) for a, b in zip(demands[i], left[expected[i]])]
+        assert vector_sharding.place(demands, residual).tolist() == [expected[i] for i in range(len(demands))]
+
+
+def test_bytes_of_shards_are_near_equal(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    size = defaultdict(int)
+    for r in vector_sharding.assign(docs).collect():
+        size[r.shard] += r.size
+    mean = sum(size.values()) / 40
+    print(f"shards of {min(size.values()) / mean:.3f} to {max(size.values()) / mean:.3f} of the mean")
+    assert len(size) == 40 and max(size.values()) < 1.1 * mean and min(size.values()) > 0.9 * mean
+
+
+def test_fingerprint_equals_a_plain_computation():
+    """Leaves, sections and root from their definition, on texts of short lines."""
+    digest = lambda data: hashlib.blake2b(data, digest_size=16)
+    draw = np.random.default_rng(8)
+    for n in (0, 1, 7, 200):
+        lines = [f"line {draw.integers(0, 50)}\n" for _ in range(n)]
+        sections, leaves = [], []
+        for line in lines:
+            leaves.append((digest(line.encode()), len(line)))
+            if leaves[-1][0].digest()[0] % merkle.SECTION_CYCLE == 0:
+                sections.append(leaves)
+                leaves = []
+        sections += [leaves] if leaves else []
+        marks = [digest(b"".join(leaf.digest() for leaf, _ in some)) for some in sections]
+        body = ";".join(
+            f"{mark.hexdigest()[: merkle.DIGITS]}="
+            + ",".join(f"{leaf.hexdigest()[: merkle.DIGITS]}:{size}" for leaf, size in some)
+            for mark, some in zip(marks, sections)
+        )
+        root = digest(b"".join(mark.digest() for mark in marks)).hexdigest()
+        assert merkle.fingerprint("".join(lines)) == f"{root}/{body}"
+
+
 def test_no_rows_no_shards(empty):
     assert vector_sharding.assign(empty).count() == 0

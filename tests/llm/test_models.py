@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.llm import byte_gru, language_gru, toxicity_chain
 
@@ -69,6 +71,47 @@ def test_toxicity_on_labelled_documents(spark):
     assert np.mean(toxic) > 0.9 and np.mean(clean) < 0.005
 
 
+def test_toxicity_on_documents_that_it_was_not_fitted_to(spark):
+    """Five folds by doc_id: each fifth is judged by a chain fitted to the others."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    judged = []
+    for fold in range(5):
+        own = F.crc32(F.col("doc_id").cast("string")) % 5 == fold
+        chain = toxicity_chain.fit(docs, labels.filter(~own))
+        found = toxicity_chain.score(docs.filter(own), chain).select("doc_id", "toxic")
+        marks = labels.filter(own).select("doc_id", F.col("toxic").alias("y"))
+        judged += found.join(marks, "doc_id").select("toxic", "y").collect()
+    toxic, clean = [r.toxic for r in judged if r.y == 1], [r.toxic for r in judged if r.y == 0]
+    print(f"held out: {np.mean(toxic):.4f} of {len(toxic)} toxic, {np.mean(clean):.4f} of {len(clean)} clean found toxic")
+    assert len(toxic) > 100 and np.mean(toxic) > 0.9 and np.mean(clean) < 0.01
+
+
+def test_network_equals_a_plain_computation():
+    """Every position's probabilities, step by step in plain Python."""
+    model = byte_gru.init(3, 2, seed=4)
+    codes = np.random.default_rng(1).integers(0, 256, (6, 2))
+    found = byte_gru.probabilities(model, codes)
+    gate = lambda x: 1 / (1 + math.exp(-2 * x))  # noqa: E731  0.5 + 0.5 tanh(x)
+    for column in range(2):
+        logits = [[float(b) for b in model["bias"][:, 0]] for _ in range(6)]
+        for way, order in (("forward", range(6)), ("backward", range(5, -1, -1))):
+            table, weights, output = (model[f"{way}_{part}"].tolist() for part in ("input", "state", "output"))
+            state = [0.0] * 3
+            for t in order:
+                given = [row[codes[t, column]] for row in table]
+                moved = [sum(w * s for w, s in zip(row, state)) for row in weights]
+                reset = [gate(given[i] + moved[i]) for i in range(3)]
+                update = [gate(given[3 + i] + moved[3 + i]) for i in range(3)]
+                new = [math.tanh(given[6 + i] + reset[i] * moved[6 + i]) for i in range(3)]
+                state = [u * s + (1 - u) * n for u, s, n in zip(update, state, new)]
+                for c in range(2):
+                    logits[t][c] += sum(w * s for w, s in zip(output[c], state))
+        for t in range(6):
+            whole = [math.exp(x) for x in logits[t]]
+            assert np.allclose(found[t, :, column], [w / sum(whole) for w in whole], atol=1e-4)
+
+
 def test_toxic_passage_in_a_long_clean_text(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))

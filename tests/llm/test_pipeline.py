@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as contract
 import corpus_pipeline
 from clickloom.llm import fair_mixing, language_gru, minhash_forest, registry, toxicity_chain
@@ -41,9 +44,25 @@ def test_stages(spark, small):
 def test_run_and_registration(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 0
     names = set(contract.queries())
-    assert {"pipeline", *registry.OPERATORS} <= names and len(registry.OPERATORS) == 10
+    assert {"pipeline", *registry.OPERATORS} <= names and len(registry.OPERATORS) == 13
     assert set(registry.oracle_sql()) == {
         "op1_chat_prefix",
         "op3_minhash_forest",
         "op10_fair_mixing",
+        "op11_conversation_repair",
+        "op12_pivot_links",
+        "op13_hard_negatives",
     }
+
+
+@pytest.mark.parametrize("which", ["odd", "empty"])
+def test_run_on_odd_and_empty_tables(spark, small, tmp_path, which, request):
+    docs = request.getfixturevalue(which)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.read.parquet(f"{small}/labels.parquet").withColumns({"text": F.lit("x"), "marks": F.lit("x")})
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    first = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert bool(first) == (which == "odd")
+    assert {r.doc_id for r in first} <= {r.doc_id for r in docs.select("doc_id").collect()}
+    again = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(map(str, first)) == sorted(map(str, again))
