@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.batches import releasing
 from clickloom.llm.slices import counted_out
 from clickloom.llm.tokens import encoder
 from clickloom.llm.workspace import Workspace
@@ -100,7 +101,7 @@ def pack(
     work = Workspace(spark, "packing")
     rows = docs.select("doc_id", "text")
     pieces = work.save(
-        rows.mapInArrow(lambda batches: _pieces(batches, tokenizer, capacity, end_id), PIECES), "pieces"
+        rows.mapInArrow(lambda batches: releasing(_pieces(batches, tokenizer, capacity, end_id)), PIECES), "pieces"
     )
     groups = max(1, -(-pieces.count() // group_pieces))
     columns = pieces.columns

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clickloom.llm import byte_gru
-from clickloom.llm.batches import portions
+from clickloom.llm.batches import portions, releasing
 from clickloom.llm.workspace import ship_package
 
 UNKNOWN = "und"
@@ -167,7 +167,7 @@ def _kept(batches, langs, model, place, least):
 def keep_identified(docs: DataFrame, langs: list[str], model, least: float) -> DataFrame:
     """The rows, all columns, whose language is known with a score of at least ``least``."""
     place = docs.columns.index("text")
-    return docs.mapInArrow(lambda batches: _kept(batches, langs, model, place, least), docs.schema)
+    return docs.mapInArrow(lambda batches: releasing(_kept(batches, langs, model, place, least)), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

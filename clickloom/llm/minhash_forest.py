@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import portions
+from clickloom.llm.batches import portions, releasing
 from clickloom.llm.components import components
 from clickloom.llm.workspace import Workspace
 
@@ -253,7 +253,7 @@ def _candidate_edges(classes: DataFrame, work: Workspace, least: int) -> DataFra
         "node", "pair", "own", "other", "id", "sign", "rest"
     )
     sorted_ = paired.repartition("node", "pair").sortWithinPartitions("node", "pair", "rest", "id")
-    return sorted_.mapInArrow(lambda batches: _likely(_runs(batches, 2), least), "a long, b long")
+    return sorted_.mapInArrow(lambda batches: releasing(_likely(_runs(batches, 2), least)), "a long, b long")
 
 
 def _with_shingles(batches, words: int):
@@ -366,7 +366,7 @@ def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
     # chosen classes grow with the documents, so their number must not decide the plan
     texts = docs.join(chosen.select("first", "key", "id").hint("merge"), same)
     sets = work.save(
-        texts.select("id", "key", "text").mapInArrow(lambda b: _with_shingles(b, words), "id long, shingles binary"),
+        texts.select("id", "key", "text").mapInArrow(lambda b: releasing(_with_shingles(b, words)), "id long, shingles binary"),
         "shingles",
     ).dropDuplicates(["id"])
     sorted_ = (
@@ -376,7 +376,7 @@ def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
         .sortWithinPartitions("label", "pair", "own", "id")
     )
     return work.save(
-        sorted_.mapInArrow(lambda b: _verified(_runs(b, 2), similarity), "a long, b long, links long"),
+        sorted_.mapInArrow(lambda b: releasing(_verified(_runs(b, 2), similarity)), "a long, b long, links long"),
         "verified",
     )
 
@@ -388,7 +388,7 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     length, least = prefix_length(similarity), least_agreeing(similarity)
     kind = "doc_id long, at long, key binary, size int, nodes array<long>, rests array<binary>, sign binary"
     hashed = rows.select("doc_id", "text", F.xxhash64("text").alias("at"))
-    sketch = work.save(hashed.mapInArrow(lambda b: _sketch(b, words, length), kind), "sketch")
+    sketch = work.save(hashed.mapInArrow(lambda b: releasing(_sketch(b, words, length)), kind), "sketch")
     known = sketch.filter("key IS NOT NULL")
     first = F.min(F.struct("doc_id", "at")).alias("first")
     heads = known.groupBy("key").agg(F.count("*").alias("copies"), first)

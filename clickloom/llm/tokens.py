@@ -13,10 +13,10 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words an encoder remembers, about 250 bytes each. Others are encoded anew.
-REMEMBERED = 600_000
+REMEMBERED = 450_000
 #: Bytes of text whose different words are looked up together; the larger, the fewer
 #: look-ups. About 12 bytes of memory each.
-PORTION = 4 * 1024 * 1024
+PORTION = 3 * 1024 * 1024
 
 
 class Encoder:

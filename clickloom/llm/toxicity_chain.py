@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import portions
+from clickloom.llm.batches import portions, releasing
 from clickloom.llm.workspace import Workspace
 
 #: Chain order: columns of 0 and 1 in ``labels``; the last decides.
@@ -294,7 +294,7 @@ def _clean(batches, chain, place, threshold):
 def keep_clean(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, all columns, that are below the threshold."""
     place = docs.columns.index("text")
-    return docs.mapInArrow(lambda batches: _clean(batches, chain, place, threshold), docs.schema)
+    return docs.mapInArrow(lambda batches: releasing(_clean(batches, chain, place, threshold)), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
