@@ -10,11 +10,13 @@
    and down to the shortest one. Pairs that the whole signatures rule out are dropped;
    the others are kept as spanning edges, not as pairs, and connected into candidate
    groups.
-4. In a group, every pair is verified on its whole shingle sets. Counts of links and
-   spanning edges of the verified links leave the task, again no pairs.
+4. In a group of at most a block, every pair is verified on its whole shingle sets. Of two
+   blocks of a larger group only those classes are, that met a likely partner of the other
+   block in some node, so a chain of half-similar texts costs about its number of such
+   meetings. Counts of links and spanning edges of the verified links leave the task, again
+   no pairs.
 
-Crowded nodes and groups are split into blocks, and a task compares two blocks. Sizes of
-linked sets differ by a bounded factor, so a large group is compared by bands of sizes.
+Crowded nodes and groups are split into blocks, and a task compares two blocks.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.batches import portions, releasing
@@ -230,32 +232,101 @@ def _likely(table_runs, least: int):
         )
 
 
-def _block_pairs(rows: DataFrame, group: str, count: str) -> DataFrame:
+def _block_of(blocks) -> Column:
+    return F.pmod(F.xxhash64("id", F.lit(7)), blocks).cast("int")
+
+
+def _pair_of(own: str, other: str) -> Column:
+    return F.least(own, other).cast("long") * 2**31 + F.greatest(own, other)
+
+
+def _block_pairs(rows: DataFrame, count: str) -> DataFrame:
     """Send a row to all pairs of blocks of its group that hold its block."""
     blocks = F.ceil(F.col(count) / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(7)), blocks).cast("int")
     return (
         rows.withColumn("blocks", blocks)
-        .withColumn("own", own)
+        .withColumn("own", _block_of(blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("pair", (F.least("own", "other").cast("long") * 2**31 + F.greatest("own", "other")))
+        .withColumn("pair", _pair_of("own", "other"))
     )
 
 
-def _candidate_edges(classes: DataFrame, work: Workspace, least: int) -> DataFrame:
-    """Edges (a, b) that connect all classes which may be similar."""
+def _crowded(classes: DataFrame, work: Workspace) -> DataFrame:
+    """Rows (node, id, rest, members) of all nodes with more than one class."""
     at = F.explode(F.arrays_zip("nodes", "rests")).alias("at")
     placed = classes.select("id", at).select("id", F.col("at.nodes").alias("node"), F.col("at.rests").alias("rest"))
     crowded = placed.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
-    members = work.save(placed.join(crowded, "node"), "members")
+    return work.save(placed.join(crowded, "node"), "members")
+
+
+def _candidate_edges(classes: DataFrame, members: DataFrame, least: int) -> DataFrame:
+    """Edges (a, b) that connect all classes which may be similar."""
     signed = members.join(classes.select("id", "sign"), "id")
-    paired = _block_pairs(signed, "node", "members").select(
-        "node", "pair", "own", "other", "id", "sign", "rest"
-    )
+    paired = _block_pairs(signed, "members").select("node", "pair", "own", "other", "id", "sign", "rest")
     sorted_ = paired.repartition("node", "pair").sortWithinPartitions("node", "pair", "rest", "id")
     return sorted_.mapInArrow(lambda batches: releasing(_likely(_runs(batches, 2), least)), "a long, b long")
 
 
+def meetings(signs, sizes, blocks, sides, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of a node, by place, and the blocks in which they have a likely partner.
+
+    Partners agree in ``least`` values, and their sizes allow the similarity. With ``sides``
+    they are of different sides. Each class and block comes once, however many partners.
+    """
+    names, place = np.unique(blocks, return_inverse=True)
+    met = np.zeros((len(signs), len(names)), bool)
+    for i in range(len(signs) - 1):
+        likely = np.minimum(sizes[i + 1 :], sizes[i]) >= similarity * np.maximum(sizes[i + 1 :], sizes[i]) - 1e-9
+        if sides is not None:
+            likely &= sides[i + 1 :] != sides[i]
+        others = np.flatnonzero(likely) + i + 1
+        others = others[(signs[others] == signs[i]).sum(axis=1) >= least]
+        met[i, place[others]] = True
+        met[others, place[i]] = True
+    at, block = np.nonzero(met)
+    return at, names[block]
+
+
+def _meeting(table_runs, least: int, similarity: float):
+    """Rows (label, id, own, other): a class, its block and one that holds a likely partner."""
+    for table in table_runs:
+        if not table.num_rows:
+            continue
+        label, node, pair, own, other, ids, block, sizes = (table.column(i).to_numpy() for i in range(8))
+        signs = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint8).reshape(len(ids), -1)
+        found = []
+        borders = _borders([label, node, pair])
+        for a, b in zip(borders[:-1], borders[1:]):
+            sides = own[a:b] if own[a] != other[a] else None
+            at, there = meetings(signs[a:b], sizes[a:b], block[a:b], sides, least, similarity)
+            found.append((label[a + at], ids[a + at], block[a + at], there))
+        columns = [np.concatenate(column) for column in zip(*found)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["label", "id", "own", "other"])
+
+
+def _block_members(chosen, classes, members, work, least, similarity) -> DataFrame:
+    """Rows (label, pair, own, other, id): the classes to be compared in a pair of blocks."""
+    whole = chosen.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    zero = F.lit(0)
+    small = chosen.join(whole.filter("blocks = 1"), "label")
+    small = small.select("label", zero.cast("long").alias("pair"), zero.alias("own"), zero.alias("other"), "id")
+    large = chosen.join(whole.filter("blocks > 1"), "label").select("label", "id", _block_of(F.col("blocks")).alias("block"))
+    large = large.join(classes.select("id", "size", "sign"), "id")
+    together = large.select("label", "id").join(members.select("node", "id"), "id")
+    together = together.groupBy("label", "node").agg(F.count("*").alias("together")).filter("together > 1")
+    placed = large.join(members.select("node", "id"), "id").join(together, ["label", "node"])
+    paired = _block_pairs(placed, "together").select(
+        "label", "node", "pair", "own", "other", "id", "block", "size", "sign"
+    )
+    sorted_ = paired.repartition("label", "node", "pair").sortWithinPartitions("label", "node", "pair", "id")
+    met = sorted_.mapInArrow(
+        lambda batches: releasing(_meeting(_runs(batches, 3), least, similarity)),
+        "label long, id long, own int, other int",
+    ).distinct()
+    large = met.select("label", _pair_of("own", "other").alias("pair"), "own", "other", "id")
+    return work.save(small.unionByName(large), "compared")
+
+
 def _with_shingles(batches, words: int):
     """Replace the text of a row by its shingles, where it is the text of its class."""
     for batch in portions(batches):
@@ -319,58 +390,22 @@ def _verified(table_runs, similarity: float):
         )
 
 
-def _verify(docs, classes, groups, work, words, similarity) -> DataFrame:
+def _verify(docs, classes, groups, members, work, words, similarity, least) -> DataFrame:
     """Rows (a, b, links) of all verified block pairs."""
-    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
-    chosen = groups.join(classes.select("id", "first", "key", "copies", "size"), groups.node == classes.id)
-    chosen = work.save(
-        chosen.select("label", "id", "first", "key", "copies", band.alias("band")), "chosen"
-    )
-    # a group of more than a block is cut into bands of sizes, a band into blocks
-    whole = chosen.groupBy("label").agg(F.count("*").alias("members"))
-    bands = chosen.groupBy("label", "band").agg(F.count("*").alias("in_band"))
-    bands = bands.join(whole, "label").filter(F.col("members") > BLOCK)
-    blocks = F.ceil(F.col("in_band") / BLOCK).cast("int")
-    near = bands.select(
-        "label",
-        F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"),
-        F.col("band").alias("other_band"),
-        blocks.alias("other_blocks"),
-    )
-    own = bands.select("label", "band", blocks.alias("blocks"))
-    plan = own.join(near, ["label", "band"])
-    placed = chosen.join(plan, ["label", "band"], "left")
-    code = lambda band, block: band.cast("long") * 2**20 + block
-    mine = F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(
-        code(F.col("band"), F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")))
-    )
-    theirs = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.coalesce("other_blocks", F.lit(1)) - 1),
-            lambda block: code(F.col("other_band"), block),
-        )
-    )
-    spread = (
-        placed.withColumn("own", mine.cast("long"))
-        .withColumn("other", F.explode(theirs))
-        .select(
-            "label",
-            F.xxhash64(F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
-            "own",
-            "other",
-            "id",
-            "copies",
-        )
-    )
+    chosen = groups.join(classes.select("id", "first", "key", "copies"), groups.node == classes.id)
+    chosen = work.save(chosen.select("label", "id", "first", "key", "copies"), "chosen")
+    compared = _block_members(chosen.select("label", "id"), classes, members, work, least, similarity)
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))
     # chosen classes grow with the documents, so their number must not decide the plan
-    texts = docs.join(chosen.select("first", "key", "id").hint("merge"), same)
+    texts = docs.join(chosen.select("first", "key", "id", "copies").hint("merge"), same)
     sets = work.save(
-        texts.select("id", "key", "text").mapInArrow(lambda b: releasing(_with_shingles(b, words)), "id long, shingles binary"),
+        texts.select("id", "copies", "key", "text").mapInArrow(
+            lambda b: releasing(_with_shingles(b, words)), "id long, copies long, shingles binary"
+        ),
         "shingles",
     ).dropDuplicates(["id"])
     sorted_ = (
-        spread.join(sets.select("id", "shingles"), "id")
+        compared.join(sets, "id")
         .select("label", "pair", "own", "other", "id", "copies", "shingles")
         .repartition("label", "pair")
         .sortWithinPartitions("label", "pair", "own", "id")
@@ -395,8 +430,9 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     one = known.dropDuplicates(["key"]).select("key", "size", "nodes", "rests", "sign")
     found = heads.join(one, "key").select("key", "copies", "first", "size", "nodes", "rests", "sign")
     classes = work.save(found.withColumn("id", F.monotonically_increasing_id()), "classes")
-    groups = work.save(components(work, _candidate_edges(classes, work, least), "candidate"), "groups")
-    verified = _verify(hashed, classes, groups, work, words, similarity)
+    members = _crowded(classes, work)
+    groups = work.save(components(work, _candidate_edges(classes, members, least), "candidate"), "groups")
+    verified = _verify(hashed, classes, groups, members, work, words, similarity, least)
     labels = work.save(components(work, verified.select("a", "b"), "linked"), "linked")
     links = verified.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     found = (

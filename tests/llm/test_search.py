@@ -72,6 +72,51 @@ def test_join_of_a_group_of_near_copies(spark, monkeypatch):
     assert sorted(found) == sorted(brute(rows))
 
 
+def _windows(n, length, shift):
+    """A long row of words read through a window that moves on: a chain of similar texts."""
+    return [(i, " ".join(f"w{i * shift + j}" for j in range(length))) for i in range(n)]
+
+
+@pytest.mark.parametrize("shift, links", [(12, 0), (10, 2)])
+def test_a_long_chain_is_compared_where_its_texts_meet(spark, shift, links, monkeypatch):
+    # neighbours at 84 of 108 or 86 of 106 runs: one candidate group, without links or all linked
+    n, block = 1200, 32
+    monkeypatch.setattr(minhash_forest, "BLOCK", block)
+    counted = []
+    kept = minhash_forest._block_members
+    monkeypatch.setattr(minhash_forest, "_block_members", lambda *args: counted.append(kept(*args)) or counted[0])
+    rows = _windows(n, 100, shift)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(tuple(r) for r in minhash_forest.join(docs).collect())
+    assert found == sorted(brute(rows))
+    assert max(r[2] for r in found) == links
+    compared = [r["count"] for r in counted[0].groupBy("label", "pair").count().collect()]
+    assert counted[0].select("label").distinct().count() < 20  # long chains
+    # a class comes into a few blocks only, and pairs of classes are a small part of all
+    assert sum(compared) < 8 * n
+    assert sum(c * (c - 1) // 2 for c in compared) < 0.1 * n * (n - 1) // 2
+
+
+def test_meetings_are_those_of_all_pairs():
+    draw = np.random.default_rng(8)
+    for trial in range(30):
+        n = int(draw.integers(2, 60))
+        signs = np.repeat(draw.integers(0, 2, (n // 2 + 1, 40)), 2, axis=0)[:n].astype(np.uint8)
+        sizes, blocks = draw.integers(1, 20, n), draw.integers(0, 5, n) * 7
+        sides = draw.integers(0, 2, n) if trial % 2 else None
+        expected = {
+            (i, blocks[j])
+            for i in range(n)
+            for j in range(n)
+            if i != j
+            and (signs[i] == signs[j]).sum() >= 25
+            and min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j]) - 1e-9
+            and (sides is None or sides[i] != sides[j])
+        }
+        at, there = minhash_forest.meetings(signs, sizes, blocks, sides, 25, 0.8)
+        assert len(at) == len(expected) and set(zip(at.tolist(), there.tolist())) == expected
+
+
 @pytest.mark.parametrize("similarity", [0.95, 0.5, 0.6])
 def test_join_of_less_similar_pairs(spark, similarity):
     # pairs of 104 runs each that share just as many as the similarity asks
