@@ -54,6 +54,44 @@ def test_language_of_odd_rows(odd, empty, documents):
     assert {r.lang_pred for r in language_gru.predict(odd, ["en"], {}).collect()} == {"und", "en"}
 
 
+def test_language_sample_is_the_least_hashes(documents, monkeypatch):
+    """The bounded search for the sample finds what sorting all hashes would."""
+    monkeypatch.setattr(language_gru, "SAMPLE_DOCS", 7)
+    taught = []
+    monkeypatch.setattr(byte_gru, "train", lambda codes, labels, *rest: taught.append((codes, labels)))
+    langs, _ = language_gru.fit(documents.union(documents))
+    rows = documents.select("doc_id", "text", "lang", F.xxhash64("text").alias("at")).collect()
+    known = {(r.lang, r.at, r.text) for r in rows if r.text and r.lang and zlib.crc32(str(r.doc_id).encode()) % 5}
+    wanted = set()
+    for lang in langs:
+        for _, _, text in sorted(x for x in known if x[0] == lang)[:7]:
+            data = text.lower().encode()
+            at = np.linspace(0, max(0, len(data) - language_gru.SAMPLE_BYTES), language_gru.SAMPLE_CHUNKS).astype(int)
+            wanted |= {(lang, data[i : i + language_gru.SAMPLE_BYTES].ljust(language_gru.SAMPLE_BYTES)) for i in at}
+    codes, labels = taught[0]
+    assert {(langs[k], codes[:, i].tobytes()) for i, k in enumerate(labels)} == wanted
+
+
+def test_share_of_hashes():
+    assert language_gru._share_of_hashes(1.0) == language_gru._share_of_hashes(3.0) == 2**63 - 1
+    assert language_gru._share_of_hashes(0.5) == 0 and language_gru._share_of_hashes(0.25) == -(2**62)
+
+
+def test_chunks_lose_no_accuracy(spark):
+    """Fresh states every CHUNK bytes label held-out texts as well as states kept far longer."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    langs, model = language_gru.fit(docs)
+    held = docs.filter(language_gru.fold_of(F.col("doc_id")) == 0).filter("text <> '' AND lang IS NOT NULL")
+    rows = held.select("text", "lang").collect()
+    right = {}
+    for chunk in (language_gru.CHUNK, 4096):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(language_gru, "CHUNK", chunk)
+            found = language_gru._label([r.text for r in rows], langs, model)
+        right[chunk] = sum(lang == r.lang for (lang, *_), r in zip(found, rows)) / len(rows)
+    assert right[language_gru.CHUNK] >= right[4096] - 0.005
+
+
 def test_positions_cover_the_text(documents):
     _, model = language_gru.fit(documents)
     texts = [b"", b"a", b"x" * 128, b"the words of a text " * 50]
